@@ -1,0 +1,138 @@
+"""A stored table replayed as a stream in fixed-size steps.
+
+Every trigger delivers the next `step` row groups of a Parquet table, in path
+order. One row group is one task, read batch by batch on the executor; the
+driver opens the footers of the files it is about to deliver, and no others.
+Steps come from the default trigger, not from `availableNow`, which would stop
+after the first.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
+
+
+@dataclass
+class RowGroup(InputPartition):
+    """One row group of one file."""
+
+    uri: str
+    group: int
+
+
+def _open(uri: str) -> pq.ParquetFile:
+    system, path = fs.FileSystem.from_uri(uri)
+    return pq.ParquetFile(system.open_input_file(path))
+
+
+def _files(uri: str) -> list[str]:
+    """URIs of the data files under a file or directory, in path order."""
+    system, path = fs.FileSystem.from_uri(uri)
+    prefix = uri[: len(uri) - len(path)] if uri.endswith(path) else ""
+    if system.get_file_info(path).type == fs.FileType.File:
+        return [uri]
+    found = system.get_file_info(fs.FileSelector(path, recursive=True))
+    names = [info.path for info in found if info.type == fs.FileType.File]
+    return [prefix + name for name in sorted(names) if not name.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+
+def _last_planned(checkpoint: str | None) -> dict | None:
+    """The last offset a query wrote to its checkpoint, so that a restart goes on from it."""
+    if not checkpoint:
+        return None
+    system, path = fs.FileSystem.from_uri(checkpoint)
+    log = f"{path}/offsets"
+    if system.get_file_info(log).type != fs.FileType.Directory:
+        return None
+    names = [info.base_name for info in system.get_file_info(fs.FileSelector(log))]
+    batches = [int(name) for name in names if name.isdigit()]
+    if not batches:
+        return None
+    with system.open_input_stream(f"{log}/{max(batches)}") as stream:
+        return json.loads(stream.read().decode().strip().splitlines()[-1])
+
+
+class ReplayReader(DataSourceStreamReader):
+    """Offsets are (file, row group) positions in the ordered table."""
+
+    def __init__(self, schema: T.StructType, options: dict) -> None:
+        self.schema = schema
+        self.files = _files(options["path"])
+        self.step = int(options.get("step", "1"))
+        self.position = _last_planned(options.get("checkpoint")) or self.initialOffset()
+
+    def initialOffset(self) -> dict:
+        return {"file": 0, "group": 0}
+
+    def _walk(self, start: dict) -> Iterator[tuple[RowGroup, dict]]:
+        """Row groups from an offset on, each with the offset after it."""
+        file, group = start["file"], start["group"]
+        while file < len(self.files):
+            total = _open(self.files[file]).metadata.num_row_groups
+            for index in range(group, total):
+                after = {"file": file, "group": index + 1}
+                yield RowGroup(self.files[file], index), after
+            file, group = file + 1, 0
+
+    def latestOffset(self) -> dict:
+        for taken, (_, after) in enumerate(self._walk(self.position), start=1):
+            self.position = after
+            if taken == self.step:
+                break
+        return self.position
+
+    def partitions(self, start: dict, end: dict) -> list[RowGroup]:
+        if start == end:
+            return []
+        planned = []
+        for part, after in self._walk(start):
+            planned.append(part)
+            if after == end:
+                break
+        return planned
+
+    def read(self, partition: RowGroup) -> Iterator[pa.RecordBatch]:
+        wanted = to_arrow_schema(self.schema)
+        batches = _open(partition.uri).iter_batches(
+            row_groups=[partition.group], columns=self.schema.fieldNames()
+        )
+        for batch in batches:
+            yield pa.Table.from_batches([batch]).select(wanted.names).cast(wanted).combine_chunks().to_batches()[0]
+
+
+class ReplaySource(DataSource):
+    """`spark.readStream.format("table_replay")` with options path, step and checkpoint."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "table_replay"
+
+    def schema(self) -> T.StructType:
+        first = _files(self.options["path"])[0]
+        return from_arrow_schema(_open(first).schema_arrow)
+
+    def streamReader(self, schema: T.StructType) -> ReplayReader:
+        return ReplayReader(schema, self.options)
+
+
+def stream_replay(
+    spark: SparkSession, path: str, schema: T.StructType, checkpoint: str, step: int = 1
+) -> DataFrame:
+    """Replay a Parquet table; `checkpoint` is the location the query will use."""
+    spark.dataSource.register(ReplaySource)
+    reader = spark.readStream.format("table_replay").schema(schema)
+    return reader.options(path=_uri(path), step=step, checkpoint=_uri(checkpoint)).load()
+
+
+def _uri(path: str) -> str:
+    return path if "://" in path or path.startswith("file:") else f"file://{path}"
