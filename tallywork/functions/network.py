@@ -9,11 +9,22 @@ from pyspark.sql import functions as F
 def ip_to_long(ip: Column) -> Column:
     """Fold dotted numbers into one long: `acc << 8 | part`, left to right.
 
-    Octets are not range-checked. The four-part form, which is every IPv4
-    address, is unrolled so that it stays inside code generation; any other
-    number of parts takes the general fold.
+    Octets are not range-checked.
+    """
+    return parts_to_long(ip_parts(ip))
+
+
+def ip_parts(ip: Column) -> Column:
+    """The dotted numbers as texts."""
+    return F.split(ip, "[.]")
+
+
+def parts_to_long(parts: Column) -> Column:
+    """The fold over split parts.
+
+    The four-part form, which is every IPv4 address, is written out so that it
+    stays inside code generation; other lengths take the general fold.
     """
-    parts = F.split(ip, "[.]")
 
     def part(index: int) -> Column:
         return parts.getItem(index).cast("bigint")

@@ -8,11 +8,25 @@ inside whole-stage code generation except `java_split_wide`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: every character up to and including U+0020 counts as blank.
 BLANKS = "".join(chr(code) for code in range(0x21))
+# Fixed value: the characters of the regex class `\s`.
+WHITESPACE = " \t\n\x0b\f\r"
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that later filters and expressions will not recompute.
+
+    The optimizer moves a filter on a plain projected column below the
+    projection and repeats the column's expression there. It cannot do so with
+    the output of a generator, so the value is generated as a one-element list.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
 def java_trim(text: Column) -> Column:
@@ -25,20 +39,42 @@ def non_blank(text: Column) -> Column:
     return F.coalesce(F.length(java_trim(text)) > 0, F.lit(False))
 
 
-def java_split(text: Column, delimiter: str, runs: bool = False) -> Column:
-    """Split on a one-character regex and drop trailing empty strings.
+def java_split(text: Column, delimiters: str, runs: bool = False) -> Column:
+    """Split on any of the given characters and drop trailing empty strings.
 
     `runs=True` treats several delimiters in a row as one. Text made of
     delimiters only gives no fields; empty text gives one empty field.
     """
-    pattern = f"{delimiter}+" if runs else delimiter
-    head = F.regexp_replace(text, f"{delimiter}+\\z", "")
+    head = F.rtrim(text, F.lit(delimiters))
     nothing_left = (F.length(head) == 0) & (F.length(text) > 0)
     return F.when(nothing_left, F.array().cast("array<string>")).otherwise(
-        F.split(head, pattern)
+        F.split(head, _pattern(delimiters, runs))
     )
 
 
+def record_fields(text: Column, delimiters: str) -> Column:
+    """Fields of a trimmed record, trailing empty ones dropped.
+
+    Differs from `java_split` for records made of delimiters only, which get one
+    empty field instead of none; either is too short for a record, and the text
+    is worked through only once.
+    """
+    record = java_trim(text)
+    if not set(delimiters) <= set(BLANKS):
+        record = F.rtrim(record, F.lit(delimiters))
+    return F.split(record, _pattern(delimiters))
+
+
+def _pattern(delimiters: str, runs: bool = False) -> str:
+    if delimiters == WHITESPACE:
+        one = r"\s"
+    elif len(delimiters) == 1:
+        one = re.escape(delimiters)
+    else:
+        one = f"[{re.escape(delimiters)}]"
+    return f"{one}+" if runs else one
+
+
 def java_split_wide(text: Column, delimiter: str) -> Column:
     """`java_split` for a delimiter of several characters, such as `::`.
 
@@ -66,6 +102,4 @@ def typed(text: Column, type_name: str, strict: bool = True) -> Column:
     if not strict:
         return value
     complaint = F.concat(F.lit(f"not a valid {type_name}: "), text)
-    return F.when(text.isNotNull() & value.isNull(), F.raise_error(complaint).cast(type_name)).otherwise(
-        value
-    )
+    return F.coalesce(value, F.when(text.isNotNull(), F.raise_error(complaint).cast(type_name)))

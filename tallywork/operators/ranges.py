@@ -12,14 +12,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywork.functions.network import ip_to_long
+from tallywork.functions.network import ip_parts, parts_to_long
+from tallywork.functions.text import computed_once
 
 BLOCK_BITS = 16
 # Largest lookup table that is broadcast; its blocks add at most 2**16 rows.
 BROADCAST_ROWS = 200_000
 # Probe rows of one block that one task should handle.
 ROWS_PER_SPLIT = 5_000_000
-RESERVED = ["_block", "_salt", "_number", "_splits"]
+RESERVED = ["_block", "_salt", "_number", "_splits", "_parts"]
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
@@ -62,7 +63,8 @@ def _inside() -> object:
 
 
 def _numbered(probe: DataFrame, ip: str) -> DataFrame:
-    numbered = probe.withColumn("_number", ip_to_long(F.col(ip)))
+    split = computed_once(probe, "_parts", ip_parts(F.col(ip)))
+    numbered = computed_once(split, "_number", parts_to_long(F.col("_parts")))
     return numbered.withColumn("_block", F.shiftright("_number", BLOCK_BITS))
 
 

@@ -11,7 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallywork.functions.text import java_split, java_split_wide, java_trim, typed
+from tallywork.functions.text import (
+    WHITESPACE,
+    computed_once,
+    java_split_wide,
+    java_trim,
+    record_fields,
+    typed,
+)
 
 RATING_SCHEMA = T.StructType(
     [
@@ -23,21 +30,18 @@ RATING_SCHEMA = T.StructType(
 )
 
 
-def line_fields(delimiter: str, runs: bool = False) -> Column:
-    """Fields of the trimmed line."""
-    return java_split(java_trim(F.col("value")), delimiter, runs)
-
-
-def valid_records(lines: DataFrame, delimiter: str, at_least: int) -> DataFrame:
+def valid_records(lines: DataFrame, delimiters: str, at_least: int) -> DataFrame:
     """Lines that are not null and have enough fields."""
-    return lines.where(F.col("value").isNotNull() & (F.size(line_fields(delimiter)) >= at_least))
+    fields = record_fields(F.col("value"), delimiters)
+    return lines.where(F.col("value").isNotNull() & (F.size(fields) >= at_least))
 
 
 def _split(
     lines: DataFrame, fields: Column, keep: list[str], at_least: int, exactly: int | None, strict: bool
 ) -> DataFrame:
-    rows = lines.where(F.col("value").isNotNull()).select(*keep, "value", fields.alias("f"))
-    rows = rows.where(F.size("f") >= at_least)
+    """Rows with enough fields in `f`; the split itself runs once per line."""
+    present = lines.where(F.col("value").isNotNull()).select(*keep, "value")
+    rows = computed_once(present, "f", fields).where(F.size("f") >= at_least)
     if exactly is None:
         return rows
     if not strict:
@@ -63,7 +67,7 @@ def _typed_rows(rows: DataFrame, keep: list[str], columns: list[tuple], strict:
 
 def access_log(lines: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Web access lines: `ip`, `url` and `referrer`, positions 0, 6 and 10 of 11 or more."""
-    rows = _split(lines, line_fields(r"\s"), keep, 11, None, True)
+    rows = _split(lines, record_fields(F.col("value"), WHITESPACE), keep, 11, None, True)
     return _typed_rows(
         rows, keep, [("ip", 0, "string"), ("url", 6, "string"), ("referrer", 10, "string")], True
     )
@@ -78,14 +82,14 @@ def parse_orders(
     keep: list[str] = (),
 ) -> DataFrame:
     """`orderId,provinceId,orderPrice`; shorter lines are skipped, longer ones are errors."""
-    rows = _split(lines, line_fields(","), keep, 3, 3, strict)
+    rows = _split(lines, record_fields(F.col("value"), ","), keep, 3, 3, strict)
     columns = [("order_id", 0, "string"), ("province_id", 1, province), ("order_price", 2, price)]
     return _typed_rows(rows, keep, columns, strict)
 
 
 def parse_key_numbers(lines: DataFrame, *, number: str = "int", strict: bool = True) -> DataFrame:
     """`key number` lines, one blank between."""
-    rows = _split(lines, line_fields(r"\s"), [], 2, 2, strict)
+    rows = _split(lines, record_fields(F.col("value"), WHITESPACE), [], 2, 2, strict)
     return _typed_rows(rows, [], [("key", 0, "string"), ("number", 1, number)], strict)
 
 
@@ -101,7 +105,7 @@ def parse_ratings(lines: DataFrame, *, strict: bool = True) -> DataFrame:
 
 def parse_ip_ranges(lines: DataFrame, *, strict: bool = True) -> DataFrame:
     """Pipe records of exactly 15 fields: start, end, and the last two as coordinates."""
-    rows = _split(lines, line_fields(r"\|"), [], 15, 15, False)
+    rows = _split(lines, record_fields(F.col("value"), "|"), [], 15, 15, False)
     columns = [
         ("start_ip", 2, "bigint"), ("end_ip", 3, "bigint"),
         ("longitude", 14, "string"), ("latitude", 13, "string"),
@@ -111,5 +115,5 @@ def parse_ip_ranges(lines: DataFrame, *, strict: bool = True) -> DataFrame:
 
 def parse_ip_logs(lines: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Pipe records of two or more fields: the address is the second."""
-    rows = _split(lines, line_fields(r"\|"), keep, 2, None, True)
+    rows = _split(lines, record_fields(F.col("value"), "|"), keep, 2, None, True)
     return _typed_rows(rows, keep, [("ip", 1, "string")], True)

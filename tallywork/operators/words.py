@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.functions.text import java_split, java_trim
+from tallywork.functions.text import WHITESPACE, java_split, java_trim
 
 
 def tokens(
@@ -25,7 +25,7 @@ def tokens(
     if trim:
         parts = F.split(java_trim(source), r"\s+")
     else:
-        parts = java_split(source, r"\s", runs=True)
+        parts = java_split(source, WHITESPACE, runs=True)
     words = lines.where(source.isNotNull()).select(*keep, F.explode(parts).alias("word"))
     return words.where(F.length("word") > 0) if drop_empty else words
 

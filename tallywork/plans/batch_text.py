@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.functions.clock import batch_time, millis_to_midnight
 from tallywork.functions.fields import decode_records, json_fields, record_view
 from tallywork.functions.network import ip_to_long
-from tallywork.functions.clock import batch_time, millis_to_midnight
+from tallywork.functions.text import WHITESPACE
 from tallywork.operators import ranges, records, traffic, words
 from tallywork.plans import inputs
 from tallywork.plans.registry import query
@@ -67,7 +68,7 @@ def top10_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("valid_records", f"SELECT count(*) AS cnt, count(DISTINCT event_id) AS events FROM ({inputs.ACCESS_LOG_SQL})")
 def valid_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = records.valid_records(inputs.access_lines(spark, sf_dir), r"\s", 11)
+    kept = records.valid_records(inputs.access_lines(spark, sf_dir), WHITESPACE, 11)
     return kept.agg(F.count(F.lit(1)).alias("cnt"), F.count_distinct("event_id").alias("events"))
 
 
