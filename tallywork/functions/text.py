@@ -3,7 +3,7 @@
 Spark SQL differs from `java.lang.String` in three ways that change results on
 dirty input: `trim` keeps control characters, `split` keeps trailing empty
 strings, and numeric casts tolerate surrounding blanks. Everything here stays
-inside whole-stage code generation except `java_split_wide`.
+inside whole-stage code generation except the fold of `drop_empty_tail`.
 """
 
 from __future__ import annotations
@@ -75,17 +75,18 @@ def _pattern(delimiters: str, runs: bool = False) -> str:
     return f"{one}+" if runs else one
 
 
-def java_split_wide(text: Column, delimiter: str) -> Column:
-    """`java_split` for a delimiter of several characters, such as `::`.
+def drop_empty_tail(parts: Column) -> Column:
+    """Drop trailing empty strings from split parts.
 
-    A delimiter run cannot be cut off the end by a regex here, because the
-    split starts from the left; the trailing empty strings are counted instead.
+    For delimiters of several characters, such as `::`: the split starts from
+    the left, so a run of them cannot be cut off the right end beforehand. Only
+    parts with an empty end take the fold. Give it a computed column.
     """
-    parts = F.split(text, delimiter)
     empty_tail = F.aggregate(
         parts, F.lit(0), lambda n, part: F.when(part == "", n + 1).otherwise(F.lit(0))
     )
-    return F.when((F.element_at(parts, -1) != "") | (F.length(text) == 0), parts).otherwise(
+    single = F.size(parts) == 1
+    return F.when((F.element_at(parts, -1) != "") | single, parts).otherwise(
         F.slice(parts, F.lit(1), F.size(parts) - empty_tail)
     )
 

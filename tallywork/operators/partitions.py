@@ -29,6 +29,17 @@ def partition_counts(df: DataFrame) -> DataFrame:
     return numbered.groupBy("partition_id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a frame that has fewer input splits than there are cores.
+
+    For inputs that cost much work per row but come in few splits. A frame with
+    enough splits, as any large table has, is returned as it is, without a
+    shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def bounds_partition(value: Column, lower: int, upper: int, partitions: int) -> Column:
     """Partition that a bounded parallel read puts a value in.
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tallywork.functions.text import (
     WHITESPACE,
     computed_once,
-    java_split_wide,
+    drop_empty_tail,
     java_trim,
     record_fields,
     typed,
@@ -95,8 +95,9 @@ def parse_key_numbers(lines: DataFrame, *, number: str = "int", strict: bool = T
 
 def parse_ratings(lines: DataFrame, *, strict: bool = True) -> DataFrame:
     """`userId::movieId::rating::timestamp`; only lines with exactly four fields count."""
-    fields = java_split_wide(java_trim(F.col("value")), "::")
-    rows = _split(lines, fields, [], 4, 4, False)
+    present = lines.where(F.col("value").isNotNull())
+    parts = computed_once(present, "_parts", F.split(java_trim(F.col("value")), "::"))
+    rows = parts.select(drop_empty_tail(F.col("_parts")).alias("f")).where(F.size("f") == 4)
     columns = [
         ("userId", 0, "int"), ("movieId", 1, "int"), ("rating", 2, "double"), ("timestamp", 3, "bigint"),
     ]

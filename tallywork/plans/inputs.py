@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tallywork.functions.clock import utc_instant
 from tallywork.functions.fields import utf8_bytes
+from tallywork.operators.partitions import spread_small
 
 MONEY = "decimal(18,2)"
 TEXT_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
@@ -195,7 +196,7 @@ LOG_RECORDS_SQL = """
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts as lines."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
+    return spread_small(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value")))
 
 
 def time_slices(df: DataFrame, time: str, slices: int) -> DataFrame:

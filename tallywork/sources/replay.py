@@ -131,8 +131,15 @@ def stream_replay(
     """Replay a Parquet table; `checkpoint` is the location the query will use."""
     spark.dataSource.register(ReplaySource)
     reader = spark.readStream.format("table_replay").schema(schema)
-    return reader.options(path=_uri(path), step=step, checkpoint=_uri(checkpoint)).load()
-
-
-def _uri(path: str) -> str:
-    return path if "://" in path or path.startswith("file:") else f"file://{path}"
+    return reader.options(path=_uri(spark, path), step=step, checkpoint=_uri(spark, checkpoint)).load()
+
+
+def _uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system, written the way Arrow reads it."""
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(context._jsc.hadoopConfiguration())
+    uri = system.makeQualified(hadoop_path).toString()
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        return "file://" + uri.removeprefix("file:")
+    return uri.replace("s3a://", "s3://", 1)

@@ -124,7 +124,12 @@ class Arrivals:
         action: BatchAction,
         mode: str = "append",
     ) -> None:
-        """Deliver slices 0 .. slices-1 of `rows` in turn and run the query after each."""
+        """Deliver slices 0 .. slices-1 of `rows` in turn and run the query after each.
+
+        `rows` is computed once, into one directory per slice.
+        """
+        staged = f"{self.home}/staged"
+        rows.write.partitionBy(slice_column).parquet(staged)
         for number in range(slices):
-            self.deliver(rows.where(F.col(slice_column) == number))
+            self.deliver(self.spark.read.parquet(staged).where(F.col(slice_column) == number))
             run_available(query(self.stream()), action, self.checkpoint, mode)
