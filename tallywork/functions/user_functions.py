@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,31 +48,37 @@ def average(value: Column) -> Column:
     return F.when(count == 0, F.lit(float("nan"))).otherwise(total / count)
 
 
-def average_arrow(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
-    """`average` with the update step in Python and the merge in Spark.
+def partial_sums(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Reduce every Arrow batch to one row per key: `_sum` and `_count` of a long column.
 
-    Each Arrow batch is reduced to one (sum, count) buffer per key before the
-    shuffle, so no task ever holds a whole group; a grouped-aggregate UDF would.
+    Null values are skipped. The buffers still have to be merged per key.
     """
     fields = [df.schema[key] for key in keys]
     buffers = T.StructType(
         [*fields, T.StructField("_sum", T.LongType()), T.StructField("_count", T.LongType())]
     )
 
-    def update(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch[batch[value].notna()].astype({value: "int64"})
-            if batch.empty:
-                continue
-            if not keys:
-                yield pd.DataFrame({"_sum": [batch[value].sum()], "_count": [len(batch)]})
+            table = pa.Table.from_batches([batch])
+            table = table.filter(pc.is_valid(table[value]))
+            if not table.num_rows:
                 continue
-            groups = batch.groupby(keys, dropna=False, sort=False)[value]
-            yield groups.agg(_sum="sum", _count="size").reset_index()
+            sums = table.group_by(keys, use_threads=False).aggregate([(value, "sum"), (value, "count")])
+            ordered = sums.select([*keys, f"{value}_sum", f"{value}_count"])
+            yield from ordered.rename_columns(buffers.fieldNames()).combine_chunks().to_batches()
+
+    return df.select(*keys, F.col(value).cast("bigint").alias(value)).mapInArrow(reduce_batches, buffers)
+
 
-    partial = df.select(*keys, F.col(value).cast("bigint").alias(value)).mapInPandas(update, buffers)
+def average_arrow(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
+    """`average` with the update step in Python and the merge in Spark.
+
+    The buffers of `partial_sums` are all that is shuffled, so no task ever
+    holds a whole group; a grouped-aggregate UDF would.
+    """
     count = F.sum("_count")
     merged = F.when(F.coalesce(count, F.lit(0)) == 0, F.lit(float("nan"))).otherwise(
         F.sum("_sum").cast("double") / count
     )
-    return partial.groupBy(*keys).agg(merged.alias(name))
+    return partial_sums(df, keys, value).groupBy(*keys).agg(merged.alias(name))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tallywork.functions.user_functions import partial_sums
+
 
 def running_total(stream: DataFrame, keys: list[str], value: str, name: str = "amount") -> DataFrame:
     """Total per key since the start.
@@ -28,28 +30,20 @@ def running_total_stateful(stream: DataFrame, key: str, units: str, name: str =
     are reduced to one row per key before the shuffle, so that the task of a hot
     key receives sums and not rows.
     """
-    key_field = T.StructField(key, stream.schema[key].dataType)
-    partial = T.StructType([key_field, T.StructField("_units", T.LongType())])
-    output = T.StructType([key_field, T.StructField(name, T.LongType())])
+    output = T.StructType([stream.schema[key], T.StructField(name, T.LongType())])
     state = T.StructType([T.StructField("total", T.LongType())])
 
-    def reduce_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sums = batch.groupby(key, sort=False)[units].sum()
-            yield sums.rename("_units").reset_index()
-
     def update(
         group: tuple, batches: Iterator[pd.DataFrame], saved: GroupState
     ) -> Iterator[pd.DataFrame]:
         total = saved.get[0] if saved.exists else 0
         for batch in batches:
-            total += int(batch["_units"].sum())
+            total += int(batch["_sum"].sum())
         saved.update((total,))
         yield pd.DataFrame({key: [group[0]], name: [total]})
 
     return (
-        stream.select(key, units)
-        .mapInPandas(reduce_batch, partial)
+        partial_sums(stream, [key], units)
         .groupBy(key)
         .applyInPandasWithState(update, output, state, "update", GroupStateTimeout.NoTimeout)
     )
