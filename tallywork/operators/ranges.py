@@ -54,8 +54,19 @@ def _checked(ranges: DataFrame) -> DataFrame:
 
 
 def fits_broadcast(ranges: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the lookup table has at most `max_rows` rows; reads no more than that."""
-    return ranges.select("start_ip").limit(max_rows + 1).count() <= max_rows
+    """Whether the lookup table has at most `max_rows` rows, and few enough once split by block.
+
+    Disjoint ranges touch every block boundary once at most, which bounds their
+    pieces by `max_rows + 2**16`. At most `max_rows + 1` rows are looked at.
+    """
+    pieces = F.shiftright("end_ip", BLOCK_BITS) - F.shiftright("start_ip", BLOCK_BITS) + 1
+    size = (
+        ranges.select(pieces.alias("pieces"))
+        .limit(max_rows + 1)
+        .agg(F.count(F.lit(1)), F.coalesce(F.sum("pieces"), F.lit(0)))
+        .first()
+    )
+    return size[0] <= max_rows and size[1] <= max_rows + (1 << BLOCK_BITS)
 
 
 def _inside() -> object:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallywork.functions.clock import batch_time
 from tallywork.operators.upsert import latest_per_key
-from tallywork.streaming.runner import BatchAction, read_batches
+from tallywork.sources.jdbc import upsert_table
+from tallywork.streaming.runner import BatchAction, BatchFunction, read_batches
 
 
 def keyed_table_action(path: str) -> BatchAction:
@@ -29,6 +31,30 @@ def keyed_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return latest_per_key(rows, keys, "batch_id").drop("batch_id")
 
 
+def jdbc_upsert_action(
+    url: str, table: str, staging: str, keys: list[str], properties: dict[str, str]
+) -> BatchAction:
+    """Action that upserts each batch into a JDBC table.
+
+    A batch of an aggregating stream holds one row per key, and merging it again
+    changes nothing, so a repeated batch is harmless.
+    """
+
+    def action(batch: DataFrame, batch_id: int) -> None:
+        upsert_table(batch, url, table, staging, keys, properties)
+
+    return action
+
+
+def stamped(function: BatchFunction) -> BatchFunction:
+    """A batch function whose rows also carry the time their batch was run, in `batch_time`."""
+
+    def with_time(batch: DataFrame) -> DataFrame:
+        return function(batch).withColumn("batch_time", batch_time(F.current_timestamp()))
+
+    return with_time
+
+
 def offsets_action(output: BatchAction, offsets: str) -> BatchAction:
     """Action that stores the result first and the batch's offset ranges after it.
 

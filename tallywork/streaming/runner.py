@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 BatchFunction = Callable[[DataFrame], DataFrame]
 BatchAction = Callable[[DataFrame, int], None]
@@ -41,26 +43,43 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tallywork-")
 
 
+@contextmanager
+def _state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Start a query with one state partition per core at most.
+
+    Every state partition writes files in every batch, so more of them than can
+    run at once only add overhead. A query copies its session's settings when
+    it starts and keeps the number in its checkpoint, so the session gets its
+    own setting back at once.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, min(int(before), spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _start(
+    stream: DataFrame, action: BatchAction, checkpoint: str, mode: str, available_now: bool
+) -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).foreachBatch(action)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    with _state_partitions(stream.sparkSession):
+        return writer.start()
+
+
 def run_available(stream: DataFrame, action: BatchAction, checkpoint: str, mode: str = "append") -> None:
     """Process everything that is there and stop; errors of any batch are raised."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(action)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _start(stream, action, checkpoint, mode, available_now=True).awaitTermination()
 
 
 def run_until_idle(stream: DataFrame, action: BatchAction, checkpoint: str, mode: str = "append") -> None:
     """Run on the default trigger until the source has nothing new."""
-    query = (
-        stream.writeStream.outputMode(mode)
-        .foreachBatch(action)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
+    query = _start(stream, action, checkpoint, mode, available_now=False)
     try:
         query.processAllAvailable()
     finally:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -104,6 +105,41 @@ def test_word_count_per_batch(spark, lines, arrivals):
     ]
 
 
+def test_batch_time_header(spark, lines, arrivals):
+    def count(batch):
+        return words.word_count(words.tokens(batch))
+
+    feed(arrivals, lines, lambda s: s, to_batch_dirs(arrivals.output, outputs.stamped(count)), batches=[["a b"], ["a"]])
+    stamps = column(read_batches(spark, arrivals.output), "batch_time")
+    assert len(stamps) == 3 and all(datetime.datetime.strptime(stamp, "%Y/%m/%d %H:%M:%S") for stamp in stamps)
+
+
+def test_jdbc_batches_are_merged(monkeypatch, lines, arrivals):
+    merged = []
+    monkeypatch.setattr(
+        outputs, "upsert_table",
+        lambda batch, url, table, staging, keys, properties: merged.append((table, staging, keys, rows(batch))),
+    )
+    action = outputs.jdbc_upsert_action("url", "counts", "counts_new", ["word"], {})
+    feed(arrivals, lines, lambda s: words.word_count(words.tokens(s)), action, "update", [["a b a"], ["b"]])
+    assert merged == [
+        ("counts", "counts_new", ["word"], [("a", 2), ("b", 1)]), ("counts", "counts_new", ["word"], [("b", 2)]),
+    ]
+
+
+def test_session_keeps_its_partition_setting(spark, lines, arrivals):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        arrivals.deliver(lines(*BATCHES[0]))
+        run_available(total(arrivals.stream()), to_batch_dirs(arrivals.output), arrivals.checkpoint, "update")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        stores = [entry for entry in Path(f"{arrivals.checkpoint}/state/0").iterdir() if entry.name.isdigit()]
+        assert len(stores) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_file_lines_and_union(spark, tmp_path):
     left, right = tmp_path / "left", tmp_path / "right"
     for folder, text in ((left, "x y\nx\n"), (right, "y z\n")):
