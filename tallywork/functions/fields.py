@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 
 def json_fields(df: DataFrame, column: str, fields: list[str], keep: list[str] = ()) -> DataFrame:
-    """Top-level JSON fields as text columns; a missing field or broken JSON is null."""
-    extracted = [F.get_json_object(F.col(column), f"$.{name}").alias(name) for name in fields]
-    return df.select(*keep, *extracted)
+    """Top-level JSON fields as text columns; a missing field or broken JSON is null.
+
+    Several fields are taken from one pass over the text.
+    """
+    if len(fields) == 1:
+        return df.select(*keep, F.get_json_object(column, f"$.{fields[0]}").alias(fields[0]))
+    return df.select(*keep, F.json_tuple(column, *fields).alias(*fields))
 
 
 def utf8(raw: Column) -> Column:

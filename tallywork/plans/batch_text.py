@@ -164,6 +164,23 @@ def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_fields(inputs.table(spark, sf_dir, "events"), "props", ["k"], keep=["event_id"])
 
 
+@query(
+    "json_fields",
+    """
+    SELECT event_id, event_id::VARCHAR AS id, event_type AS type, CAST(value > 50 AS VARCHAR) AS public,
+           strftime(ts, '%Y-%m-%d %H:%M:%S') AS created_at
+    FROM events
+    """,
+)
+def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    event = F.struct(
+        F.col("event_id").alias("id"), F.col("event_type").alias("type"), (F.col("value") > 50).alias("public"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
+    )
+    lines = inputs.table(spark, sf_dir, "events").select("event_id", F.to_json(event).alias("value"))
+    return json_fields(lines, "value", ["id", "type", "public", "created_at"], keep=["event_id"])
+
+
 @query("decode_records", inputs.LOG_RECORDS_SQL)
 def decoded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_records(inputs.log_records(spark, sf_dir))

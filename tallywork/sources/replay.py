@@ -107,7 +107,7 @@ class ReplayReader(DataSourceStreamReader):
             row_groups=[partition.group], columns=self.schema.fieldNames()
         )
         for batch in batches:
-            yield pa.Table.from_batches([batch]).select(wanted.names).cast(wanted).combine_chunks().to_batches()[0]
+            yield from pa.Table.from_batches([batch]).select(wanted.names).cast(wanted).to_batches()
 
 
 class ReplaySource(DataSource):

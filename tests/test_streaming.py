@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rows import column, rows
 from tallywork.operators import orders, records, words
+from tallywork.session import SETTINGS
 from tallywork.sources.log_topics import RECORD_SCHEMA
 from tallywork.sources.replay import stream_replay
 from tallywork.sources.streams import stream_lines, stream_parquet
@@ -74,6 +75,18 @@ def test_user_state_gives_the_same_totals(spark, lines, arrivals):
     assert {key: cents / 100 for key, cents in got.items()} == UPDATES
 
 
+def test_running_totals_with_the_recommended_settings(spark, lines, arrivals):
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        feed(arrivals, lines, total, to_batch_dirs(arrivals.output), "update")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert per_batch(spark, arrivals.output, "amount") == UPDATES
+
+
 def test_restart_reads_nothing_twice(spark, lines, arrivals):
     feed(arrivals, lines, total, to_batch_dirs(arrivals.output), "update")
     before = per_batch(spark, arrivals.output, "amount")
