@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,24 +22,17 @@ def ip_parts(ip: Column) -> Column:
 
 
 def parts_to_long(parts: Column) -> Column:
-    """The fold over split parts.
+    """The fold over split parts, without a lambda so that it stays in code generation.
 
-    The four-part form, which is every IPv4 address, is written out so that it
-    stays inside code generation; other lengths take the general fold.
+    A part that is i places from the end ends up shifted by 8 * i bits. From
+    eight places on nothing of it is left in a long, so any number of parts
+    comes down to the last eight. IPv4 addresses take the short form.
     """
 
-    def part(index: int) -> Column:
-        return parts.getItem(index).cast("bigint")
-
-    four = part(0)
-    for index in (1, 2, 3):
-        four = F.shiftleft(four, 8).bitwiseOR(part(index))
-    return F.when(F.size(parts) == 4, four).otherwise(_fold(parts))
-
+    def shifted(place: int, part: Column) -> Column:
+        return F.shiftleft(part.cast("bigint"), 8 * place)
 
-def _fold(parts: Column) -> Column:
-    return F.aggregate(
-        parts,
-        F.lit(0).cast("bigint"),
-        lambda acc, part: F.shiftleft(acc, 8).bitwiseOR(part.cast("bigint")),
-    )
+    four = [shifted(3 - index, parts.getItem(index)) for index in range(4)]
+    last = F.size(parts) - 1
+    eight = [F.coalesce(shifted(place, F.get(parts, last - place)), F.lit(0)) for place in range(8)]
+    return F.when(F.size(parts) == 4, reduce(Column.bitwiseOR, four)).otherwise(reduce(Column.bitwiseOR, eight))

@@ -1,82 +1,131 @@
 """Point-in-range lookup: which `[start, end]` holds an address, both ends included.
 
-A join on BETWEEN alone compares every address with every range. Here both
-sides carry the address block they lie in (the number without its low 16 bits)
-and meet by an equi-join on the block; BETWEEN remains as a residual test.
-Ranges must be disjoint, so an address has at most one match; this is checked
-while the lookup side is prepared and fails the job otherwise.
+A join on BETWEEN alone compares every address with every range. Here ranges are
+cut into pieces that lie in aligned blocks of addresses, with block sizes that
+fit the pieces: a piece is at least as long as its block, so a block meets two
+disjoint pieces at most. An address looks for its block on each level by an
+equi-join; BETWEEN remains as a residual test on at most two candidates.
+
+Ranges must be disjoint, so that an address has at most one match. This is
+checked while the pieces are made and fails the job otherwise.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywork.functions.network import ip_parts, parts_to_long
 from tallywork.functions.text import computed_once
 
-BLOCK_BITS = 16
-# Largest lookup table that is broadcast; its blocks add at most 2**16 rows.
-BROADCAST_ROWS = 200_000
-# Probe rows of one block that one task should handle.
+# Block sizes are 2**level addresses. Ranges are first cut at the largest block.
+LEVELS = (16, 12, 8, 4, 0)
+TOP = LEVELS[0]
+# Largest number of pieces that is broadcast.
+BROADCAST_PIECES = 1_000_000
+# Probe rows of one address that one task should handle.
 ROWS_PER_SPLIT = 5_000_000
-RESERVED = ["_block", "_salt", "_number", "_splits", "_parts"]
+# Addresses that are split over tasks, at most; their table is broadcast.
+MAX_SPLIT_ADDRESSES = 10_000
+HELPERS = ["_number", "_parts", "_key", "_piece_start", "_piece_end"]
 
 
-def overlapping_ranges(ranges: DataFrame) -> DataFrame:
-    """Block-wise pieces of ranges that start inside an earlier range of the same block."""
-    return _blocked(ranges).where(F.col("_covered") >= F.col("start_ip")).drop("_block", "_covered")
+@dataclass(frozen=True)
+class LookupSize:
+    """Number of pieces of a lookup table, and the levels they lie on."""
+
+    pieces: int
+    levels: tuple[int, ...]
 
 
-def _blocked(ranges: DataFrame) -> DataFrame:
-    """Ranges repeated per block, with the furthest end of the ranges before each."""
-    blocks = F.sequence(
-        F.shiftright("start_ip", BLOCK_BITS), F.shiftright("end_ip", BLOCK_BITS)
+def overlapping_ranges(ranges: DataFrame) -> DataFrame:
+    """Parts of ranges, cut at the largest block, that start inside an earlier range."""
+    cut = _cut(ranges)
+    return cut.where(F.col("_covered") >= F.col("_piece_start")).select(*ranges.columns)
+
+
+def lookup_size(ranges: DataFrame) -> LookupSize:
+    """Count the pieces of a lookup table; one pass over the table."""
+    cut = _cut_at_top(ranges)
+    found = cut.agg(
+        F.coalesce(F.sum(_piece_count()), F.lit(0)).alias("pieces"),
+        F.collect_set(_level()).alias("levels"),
+    ).first()
+    return LookupSize(found.pieces, tuple(sorted(found.levels, reverse=True)))
+
+
+def _cut_at_top(ranges: DataFrame) -> DataFrame:
+    """Ranges cut at the borders of the largest blocks."""
+    first, last = F.shiftright("start_ip", TOP), F.shiftright("end_ip", TOP)
+    cut = ranges.where(F.col("start_ip") <= F.col("end_ip")).withColumn(
+        "_block", F.explode(F.sequence(first, last))
+    )
+    low = F.shiftleft("_block", TOP)
+    return cut.withColumns(
+        {
+            "_piece_start": F.greatest("start_ip", low),
+            "_piece_end": F.least("end_ip", low + ((1 << TOP) - 1)),
+        }
     )
+
+
+def _cut(ranges: DataFrame) -> DataFrame:
+    """Cut ranges with the furthest end of the ranges before them in their block."""
     earlier = (
         Window.partitionBy("_block")
-        .orderBy("start_ip", "end_ip")
+        .orderBy("_piece_start", "_piece_end")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    valid = ranges.where(F.col("start_ip") <= F.col("end_ip"))
-    pieces = valid.withColumn("_block", F.explode(blocks))
-    return pieces.withColumn("_covered", F.max("end_ip").over(earlier))
+    return _cut_at_top(ranges).withColumn("_covered", F.max("_piece_end").over(earlier))
 
 
-def _checked(ranges: DataFrame) -> DataFrame:
-    """Block-wise ranges; reading them fails when two ranges overlap."""
-    problem = F.concat(F.lit("overlapping range at "), F.col("start_ip").cast("string"))
-    start = F.when(
-        F.coalesce(F.col("_covered") >= F.col("start_ip"), F.lit(False)),
-        F.raise_error(problem).cast("bigint"),
-    ).otherwise(F.col("start_ip"))
-    return _blocked(ranges).withColumn("start_ip", start).drop("_covered")
+def _level() -> Column:
+    """The largest level whose block is not longer than the piece."""
+    length = F.col("_piece_end") - F.col("_piece_start") + 1
+    level = F.lit(LEVELS[-1])
+    for candidate in reversed(LEVELS[:-1]):
+        level = F.when(length >= 1 << candidate, F.lit(candidate)).otherwise(level)
+    return level
 
 
-def fits_broadcast(ranges: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the lookup table has at most `max_rows` rows, and few enough once split by block.
+def _piece_count() -> Column:
+    """Blocks that a cut range touches on its level."""
+    return _block_of("_piece_end", _level()) - _block_of("_piece_start", _level()) + 1
 
-    Disjoint ranges touch every block boundary once at most, which bounds their
-    pieces by `max_rows + 2**16`. At most `max_rows + 1` rows are looked at.
-    """
-    pieces = F.shiftright("end_ip", BLOCK_BITS) - F.shiftright("start_ip", BLOCK_BITS) + 1
-    size = (
-        ranges.select(pieces.alias("pieces"))
-        .limit(max_rows + 1)
-        .agg(F.count(F.lit(1)), F.coalesce(F.sum("pieces"), F.lit(0)))
-        .first()
-    )
-    return size[0] <= max_rows and size[1] <= max_rows + (1 << BLOCK_BITS)
+
+def _block_of(position: str, level: Column) -> Column:
+    return F.call_function("shiftright", F.col(position), level)
 
 
-def _inside() -> object:
-    return F.col("_number").between(F.col("start_ip"), F.col("end_ip"))
+def _key(block: Column, level: Column) -> Column:
+    """Level and block number in one long, which Spark joins faster than two columns."""
+    return F.shiftleft(block, 5).bitwiseOR(level.cast("bigint"))
+
+
+def _pieces(ranges: DataFrame) -> DataFrame:
+    """Pieces with their block key; reading them fails when two ranges overlap."""
+    problem = F.concat(F.lit("overlapping range at "), F.col("_piece_start").cast("string"))
+    overlaps = F.coalesce(F.col("_covered") >= F.col("_piece_start"), F.lit(False))
+    start = F.when(overlaps, F.raise_error(problem).cast("bigint")).otherwise(F.col("_piece_start"))
+    checked = _cut(ranges).withColumn("_piece_start", start).withColumn("_level", _level())
+    level = F.col("_level")
+    blocks = F.sequence(_block_of("_piece_start", level), _block_of("_piece_end", level))
+    keyed = checked.withColumn("_block", F.explode(blocks)).withColumn("_key", _key(F.col("_block"), level))
+    return keyed.drop("start_ip", "end_ip", "_block", "_covered", "_level")
 
 
 def _numbered(probe: DataFrame, ip: str) -> DataFrame:
     split = computed_once(probe, "_parts", ip_parts(F.col(ip)))
-    numbered = computed_once(split, "_number", parts_to_long(F.col("_parts")))
-    return numbered.withColumn("_block", F.shiftright("_number", BLOCK_BITS))
+    return computed_once(split, "_number", parts_to_long(F.col("_parts"))).drop("_parts")
+
+
+def _located(numbered: DataFrame, pieces: DataFrame, levels: tuple[int, ...]) -> DataFrame:
+    """Rows with a `_number` joined with the piece that holds it."""
+    keys = [_key(F.shiftright("_number", level), F.lit(level)) for level in levels or LEVELS[:1]]
+    candidates = numbered.withColumn("_key", F.explode(F.array(*keys))).join(pieces, "_key")
+    return candidates.where(F.col("_number").between(F.col("_piece_start"), F.col("_piece_end")))
 
 
 def range_lookup(
@@ -85,18 +134,19 @@ def range_lookup(
     ip: str = "ip",
     *,
     spread_by: list[str] | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_pieces: int = BROADCAST_PIECES,
 ) -> DataFrame:
     """Probe rows with the attributes of the range that holds their address.
 
-    Unmatched rows are dropped. A lookup table of at most `max_rows` rows is
+    Unmatched rows are dropped. A lookup table of at most `max_pieces` pieces is
     broadcast and the probe side is not shuffled; a larger one takes
     `range_lookup_bucketed`.
     """
-    if not fits_broadcast(ranges, max_rows):
-        return range_lookup_bucketed(probe, ranges, ip, spread_by=spread_by)
-    joined = _numbered(probe, ip).join(F.broadcast(_checked(ranges)), "_block")
-    return joined.where(_inside()).drop(*RESERVED)
+    size = lookup_size(ranges)
+    if size.pieces > max_pieces:
+        return range_lookup_bucketed(probe, ranges, ip, spread_by=spread_by, size=size)
+    found = _located(_numbered(probe, ip), F.broadcast(_pieces(ranges)), size.levels)
+    return found.drop(*HELPERS)
 
 
 def range_lookup_bucketed(
@@ -106,50 +156,52 @@ def range_lookup_bucketed(
     *,
     spread_by: list[str] | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
+    size: LookupSize | None = None,
 ) -> DataFrame:
-    """`range_lookup` without a broadcast lookup table: both sides shuffle on the block.
-
-    `spread_by` names columns that tell probe rows apart, such as a row id. With
-    it, blocks with more than `rows_per_split` probe rows are split over several
-    tasks and their ranges are repeated for each. The table of split blocks has
-    at most 2**16 rows for IPv4, so it may be broadcast. Without `spread_by`,
-    adaptive skew-join handling is the only protection.
+    """`range_lookup` for lookup tables of any size, by shuffles.
+
+    Each distinct address is located once; the largest block holds 2**16
+    addresses, so no join key is hot there. The probe rows then fetch the result
+    by their address. `spread_by` names columns that tell probe rows apart, such
+    as a row id: with it, the rows of a frequent address are spread over several
+    tasks, and its one result row is repeated for each. Without it, adaptive
+    skew-join handling is the only protection.
     """
     numbered = _numbered(probe, ip)
-    lookup = _checked(ranges)
+    counts = _address_counts(numbered)
+    levels = (size or lookup_size(ranges)).levels
+    results = _located(counts, _pieces(ranges), levels).drop("_key", "_piece_start", "_piece_end")
     if not spread_by:
-        return numbered.join(lookup, "_block").where(_inside()).drop(*RESERVED)
-    busy = (
-        numbered.groupBy("_block")
-        .agg(F.ceil(F.count(F.lit(1)) / rows_per_split).cast("int").alias("_splits"))
-        .where((F.col("_splits") > 1) & F.col("_block").between(0, (1 << BLOCK_BITS) - 1))
-    )
-    splits = F.coalesce(F.col("_splits"), F.lit(1))
-    left = (
-        numbered.join(F.broadcast(busy), "_block", "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*spread_by), splits).cast("int"))
-        .drop("_splits")
-    )
-    right = (
-        lookup.join(F.broadcast(busy), "_block", "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), splits - 1)))
-        .drop("_splits")
-    )
-    return left.join(right, ["_block", "_salt"]).where(_inside()).drop(*RESERVED)
+        return numbered.join(results.drop("_hits"), "_number").drop(*HELPERS)
+    # Of all addresses, fewer than MAX_SPLIT_ADDRESSES can be above this share of the rows.
+    share = counts.agg(F.ceil(F.sum("_hits") / MAX_SPLIT_ADDRESSES)).scalar()
+    threshold = F.greatest(F.lit(rows_per_split).cast("bigint"), F.coalesce(share, F.lit(0)))
+    splits = F.when(F.col("_hits") > threshold, F.ceil(F.col("_hits") / rows_per_split)).otherwise(1)
+    busy = counts.where(F.col("_hits") > threshold).select("_number", splits.cast("bigint").alias("_splits"))
+    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_splits"), F.lit(1)))
+    left = numbered.join(F.broadcast(busy), "_number", "left").withColumn("_salt", salt).drop("_splits")
+    right = results.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), splits.cast("bigint") - 1)))
+    return left.join(right.drop("_hits"), ["_number", "_salt"]).drop("_salt", *HELPERS)
+
+
+def _address_counts(numbered: DataFrame) -> DataFrame:
+    present = numbered.where(F.col("_number").isNotNull())
+    return present.groupBy("_number").agg(F.count(F.lit(1)).alias("_hits"))
 
 
 def geo_heat(
-    probe: DataFrame, ranges: DataFrame, ip: str = "ip", *, max_rows: int = BROADCAST_ROWS
+    probe: DataFrame, ranges: DataFrame, ip: str = "ip", *, max_pieces: int = BROADCAST_PIECES
 ) -> DataFrame:
     """Hits per `(longitude, latitude)`.
 
-    With a large lookup table, hits are first counted per address: afterwards no
-    address is hot, and a block holds at most 2**16 rows.
+    With a large lookup table, hits are first counted per address, and only the
+    distinct addresses are located.
     """
     coordinates = ["longitude", "latitude"]
-    if fits_broadcast(ranges, max_rows):
-        located = range_lookup(probe.select(ip), ranges, ip, max_rows=max_rows)
-        return located.groupBy(*coordinates).agg(F.count(F.lit(1)).alias("total_count"))
-    per_ip = probe.groupBy(ip).agg(F.count(F.lit(1)).alias("_hits"))
-    located = range_lookup_bucketed(per_ip, ranges, ip)
-    return located.groupBy(*coordinates).agg(F.sum("_hits").alias("total_count"))
+    size = lookup_size(ranges)
+    numbered = _numbered(probe.select(ip), ip)
+    if size.pieces <= max_pieces:
+        found = _located(numbered, F.broadcast(_pieces(ranges)), size.levels)
+        return found.groupBy(*coordinates).agg(F.count(F.lit(1)).alias("total_count"))
+    found = _located(_address_counts(numbered), _pieces(ranges), size.levels)
+    return found.groupBy(*coordinates).agg(F.sum("_hits").alias("total_count"))

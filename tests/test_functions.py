@@ -11,13 +11,13 @@ from tallywork.functions import clock, fields, network, user_functions
 
 
 def test_ip_to_long(lines):
-    values = ["0.0.0.0", "1.2.3.4", "255.255.255.255", "10.300.1.1", "7", "1.2.3"]
+    values = ["0.0.0.0", "1.2.3.4", "255.255.255.255", "10.300.1.1", "7", "1.2.3", "1.2.3.4.5", "1.2.3.4.5.6.7.8.9.300.11"]
 
     def fold(ip: str) -> int:
         number = 0
         for part in ip.split("."):
-            number = int(part) | number << 8
-        return number
+            number = (int(part) | number << 8) % 2**64
+        return number - 2**64 if number >= 2**63 else number
 
     got = column(lines(*values).select(network.ip_to_long(F.col("value")).alias("n")), "n")
     assert got == [fold(value) for value in values]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -44,24 +45,54 @@ def test_all_forms_equal_brute_force(world):
     probe, lookup, wanted = world
     forms = [
         ranges.range_lookup(probe, lookup),
-        ranges.range_lookup(probe, lookup, max_rows=10, spread_by=["id"]),
+        ranges.range_lookup(probe, lookup, max_pieces=10, spread_by=["id"]),
         ranges.range_lookup_bucketed(probe, lookup),
         ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"]),
-        ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"], rows_per_split=100),
+        ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"], rows_per_split=2),
     ]
     for form in forms:
         assert rows(form.select(*COLUMNS)) == wanted
 
 
-def test_hot_block_is_split(world, spark):
-    probe, lookup, _ = world
-    split = ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"], rows_per_split=100)
+def test_hot_address_is_split(spark, world, monkeypatch):
+    _, lookup, _ = world
+    monkeypatch.setattr(ranges, "MAX_SPLIT_ADDRESSES", 5)
+    hot = [(i, "20.0.0.1" if i % 3 else f"20.0.0.{i % 12}") for i in range(900)]
+    probe = spark.createDataFrame(hot, "id int, ip string")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "_salt" in final_plan(split)
+        split = ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"], rows_per_split=50)
+        got = split.groupBy("ip").count().collect()
+        plan = final_plan(split)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    wanted = Counter(ip for _, ip in hot if 0 <= int(ip.rsplit(".", 1)[1]) <= 9)
+    assert {row["ip"]: row["count"] for row in got} == wanted
+    assert "_salt" in plan and "NestedLoop" not in plan
+
+
+def test_pieces_are_few_and_blocks_sparse(world):
+    _, lookup, _ = world
+    size = ranges.lookup_size(lookup)
+    pieces = ranges._pieces(lookup)
+    assert pieces.count() == size.pieces
+    # 18 per range and block it touches, at most.
+    touched = lookup.selectExpr("sum((end_ip >> 16) - (start_ip >> 16) + 1)").first()[0]
+    assert size.pieces <= 18 * touched
+    assert pieces.groupBy("_key").count().agg({"count": "max"}).first()[0] <= 2
+    assert set(size.levels) <= set(ranges.LEVELS)
+
+
+def test_dense_block(spark):
+    low = 7 << 24
+    table = [(low + 2 * i, low + 2 * i + i % 2, f"lon{i}", "lat") for i in range(3_000)]
+    lookup = spark.createDataFrame(table, "start_ip bigint, end_ip bigint, longitude string, latitude string")
+    probe = spark.createDataFrame([(i, f"7.0.{i // 256}.{i % 256}") for i in range(6_100)], "id int, ip string")
+    wanted = sorted((i, f"lon{i // 2}") for i in range(6_000) if i % 2 == 0 or (i // 2) % 2)
+    for form in (ranges.range_lookup(probe, lookup), ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"])):
+        assert sorted((row.id, row.longitude) for row in form.collect()) == wanted
+    assert ranges._pieces(lookup).groupBy("_key").count().agg({"count": "max"}).first()[0] <= 2
 
 
 def test_no_nested_loop(world):
@@ -71,10 +102,16 @@ def test_no_nested_loop(world):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_broadcast_only_below_the_limit(world):
+def test_broadcast_only_below_the_limit(world, spark):
     probe, lookup, _ = world
-    assert ranges.fits_broadcast(lookup, lookup.count())
-    assert not ranges.fits_broadcast(lookup, lookup.count() - 1)
+    pieces = ranges.lookup_size(lookup).pieces
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in final_plan(ranges.range_lookup(probe, lookup, max_pieces=pieces))
+        assert "BroadcastHashJoin" not in final_plan(ranges.range_lookup(probe, lookup, max_pieces=pieces - 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_heat(world):
@@ -84,7 +121,7 @@ def test_heat(world):
         counts[lon, lat] = counts.get((lon, lat), 0) + 1
     expected = sorted(((lon, lat, n) for (lon, lat), n in counts.items()), key=repr)
     assert rows(ranges.geo_heat(probe, lookup)) == expected
-    assert rows(ranges.geo_heat(probe, lookup, max_rows=10)) == expected
+    assert rows(ranges.geo_heat(probe, lookup, max_pieces=10)) == expected
 
 
 def test_overlaps_fail(spark, world):
