@@ -3,7 +3,7 @@
 Spark SQL differs from `java.lang.String` in three ways that change results on
 dirty input: `trim` keeps control characters, `split` keeps trailing empty
 strings, and numeric casts tolerate surrounding blanks. Everything here stays
-inside whole-stage code generation except the fold of `drop_empty_tail`.
+inside whole-stage code generation.
 """
 
 from __future__ import annotations
@@ -75,20 +75,15 @@ def _pattern(delimiters: str, runs: bool = False) -> str:
     return f"{one}+" if runs else one
 
 
-def drop_empty_tail(parts: Column) -> Column:
-    """Drop trailing empty strings from split parts.
+def has_fields(parts: Column, count: int) -> Column:
+    """Whether split parts are exactly `count` fields once trailing empty ones are dropped.
 
     For delimiters of several characters, such as `::`: the split starts from
-    the left, so a run of them cannot be cut off the right end beforehand. Only
-    parts with an empty end take the fold. Give it a computed column.
+    the left, so a run of them cannot be cut off the right end beforehand.
     """
-    empty_tail = F.aggregate(
-        parts, F.lit(0), lambda n, part: F.when(part == "", n + 1).otherwise(F.lit(0))
-    )
-    single = F.size(parts) == 1
-    return F.when((F.element_at(parts, -1) != "") | single, parts).otherwise(
-        F.slice(parts, F.lit(1), F.size(parts) - empty_tail)
-    )
+    size = F.size(parts)
+    rest_is_empty = F.array_join(F.slice(parts, F.lit(count + 1), F.greatest(size - count, F.lit(0))), "") == ""
+    return (size >= count) & (F.get(parts, F.lit(count - 1)) != "") & ((size == count) | rest_is_empty)
 
 
 def typed(text: Column, type_name: str, strict: bool = True) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tallywork.functions.text import (
     WHITESPACE,
     computed_once,
-    drop_empty_tail,
+    has_fields,
     java_trim,
     record_fields,
     typed,
@@ -97,7 +97,7 @@ def parse_ratings(lines: DataFrame, *, strict: bool = True) -> DataFrame:
     """`userId::movieId::rating::timestamp`; only lines with exactly four fields count."""
     present = lines.where(F.col("value").isNotNull())
     parts = computed_once(present, "_parts", F.split(java_trim(F.col("value")), "::"))
-    rows = parts.select(drop_empty_tail(F.col("_parts")).alias("f")).where(F.size("f") == 4)
+    rows = parts.where(has_fields(F.col("_parts"), 4)).select(F.col("_parts").alias("f"))
     columns = [
         ("userId", 0, "int"), ("movieId", 1, "int"), ("rating", 2, "double"), ("timestamp", 3, "bigint"),
     ]

@@ -58,12 +58,14 @@ def test_record_fields_agree_from_two_fields_on(lines, delimiters, pattern):
         assert fields == wanted or max(len(fields), len(wanted)) < 2
 
 
-def test_wide_delimiter(lines):
-    values = texts("a:")
+@pytest.mark.parametrize("count", [1, 2, 3, 4])
+def test_wide_delimiter(lines, count):
+    values = [*texts("a:"), "a::b::c::d", "a::b::c::d::::", "a::b::c", "::::::d", "a::b::c::d::::e"]
     frame = text.computed_once(lines(*values), "p", F.split("value", "::"))
-    got = column(frame.select(text.drop_empty_tail(F.col("p")).alias("v")), "v")
-    for value, fields in zip(values, got):
-        assert fields == java_split(value, "::"), value
+    got = column(frame.select(text.has_fields(F.col("p"), count).alias("v")), "v")
+    for value, fits in zip(values, got):
+        fields = java_split(value, "::")
+        assert fits == (len(fields) == count) or fields == [""], value
 
 
 def test_typed_drop(lines):
