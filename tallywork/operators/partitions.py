@@ -34,7 +34,8 @@ def spread_small(df: DataFrame) -> DataFrame:
 
     For inputs that cost much work per row but come in few splits. A frame with
     enough splits, as any large table has, is returned as it is, without a
-    shuffle.
+    shuffle. Give it a scan: asking a frame with shuffles for its number of
+    partitions would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

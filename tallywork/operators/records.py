@@ -41,16 +41,17 @@ def _split(
 ) -> DataFrame:
     """Rows with enough fields in `f`; the split itself runs once per line."""
     present = lines.where(F.col("value").isNotNull()).select(*keep, "value")
-    rows = computed_once(present, "f", fields).where(F.size("f") >= at_least)
+    rows = computed_once(present, "f", fields)
+    size = F.size("f")
     if exactly is None:
-        return rows
+        return rows.where(size >= at_least)
     if not strict:
-        return rows.where(F.size("f") == exactly)
-    complaint = F.concat(F.lit(f"expected {exactly} fields: "), F.col("value"))
-    checked = F.when(F.size("f") == exactly, F.col("f")).otherwise(
-        F.raise_error(complaint).cast("array<string>")
+        return rows.where(size == exactly)
+    complaint = F.raise_error(F.concat(F.lit(f"expected {exactly} fields: "), F.col("value")))
+    # A filter, because a check inside a column is skipped when nobody reads the column.
+    return rows.where(
+        F.when(size == exactly, True).when(size < at_least, False).otherwise(complaint.cast("boolean"))
     )
-    return rows.withColumn("f", checked)
 
 
 def _typed_rows(rows: DataFrame, keep: list[str], columns: list[tuple], strict: bool) -> DataFrame:

@@ -202,7 +202,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_slices(df: DataFrame, time: str, slices: int) -> DataFrame:
     """Number the rows 0 .. slices-1 in `slice` by equal parts of the time span."""
     micros = F.unix_micros(utc_instant(F.col(time)))
-    low, high = df.agg(F.min(micros), F.max(micros)).first()
+    low, high = df.agg(F.coalesce(F.min(micros), F.lit(0)), F.coalesce(F.max(micros), F.lit(0))).first()
     part = F.floor((micros - F.lit(low)) * slices / F.lit(high - low + 1))
     return df.withColumn("slice", part.cast("int"))
 

@@ -18,7 +18,7 @@ from tallywork.plans import inputs
 from tallywork.plans.batch_text import COUNTS
 from tallywork.plans.registry import query
 from tallywork.sources.replay import stream_replay
-from tallywork.sources.streams import stream_parquet
+from tallywork.sources.streams import stream_lines, stream_parquet
 from tallywork.streaming import outputs, totals, windows
 from tallywork.streaming.runner import (
     Arrivals,
@@ -214,6 +214,19 @@ def stream_total_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("batch_id", "province_id", amount)
 
 
+@query(
+    "stream_file_lines",
+    f"SELECT province_id::VARCHAR AS province_id, count(*) AS cnt FROM ({inputs.ORDERS_SQL}) GROUP BY province_id",
+)
+def stream_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    home = workspace(spark, "file-lines")
+    inputs.order_lines(spark, sf_dir).select("value").write.text(f"{home}/input")
+    lines = stream_lines(spark, f"{home}/input", MAX_FILES)
+    counts = orders.province_count(records.parse_orders(lines, province="string"))
+    run_available(counts, outputs.keyed_table_action(f"{home}/output"), f"{home}/checkpoint", "update")
+    return outputs.keyed_table(spark, f"{home}/output", ["province_id"])
+
+
 EVENT_SCHEMA = T.StructType([T.StructField("event_type", T.StringType())])
 
 

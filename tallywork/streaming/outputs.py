@@ -31,6 +31,16 @@ def keyed_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return latest_per_key(rows, keys, "batch_id").drop("batch_id")
 
 
+def rewrite_keyed_table(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
+    """Copy a keyed table without its superseded rows.
+
+    For tables that a long stream has been adding to: stop the stream, rewrite,
+    and let it go on with `target`. Rows keep their batch numbers.
+    """
+    rows = latest_per_key(read_batches(spark, path), keys, "batch_id")
+    rows.write.partitionBy("batch_id").parquet(target)
+
+
 def jdbc_upsert_action(
     url: str, table: str, staging: str, keys: list[str], properties: dict[str, str]
 ) -> BatchAction:

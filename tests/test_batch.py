@@ -57,6 +57,8 @@ def test_orders_strict_and_dropping(lines):
         with pytest.raises(Exception):
             records.parse_orders(lines(*good, bad)).collect()
         assert records.parse_orders(lines(*good, bad), strict=False).count() == 3
+    with pytest.raises(Exception, match="expected 3 fields"):
+        records.parse_orders(lines(*good, "1,2,3,4")).count()
     parsed = records.parse_orders(lines(*good))
     assert rows(orders.province_amount(parsed)) == [(2, 4.5), (7, 100.0)]
     assert rows(orders.province_count(parsed)) == [(2, 2), (7, 1)]

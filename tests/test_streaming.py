@@ -175,6 +175,18 @@ def test_capped_files_give_several_batches(spark, tmp_path):
     assert rows(outputs.keyed_table(spark, f"{home}/out", ["word"])) == [("w", 3)]
 
 
+def test_rewritten_table_goes_on(spark, lines, arrivals):
+    def count(stream):
+        return words.word_count(words.tokens(stream))
+
+    feed(arrivals, lines, count, outputs.keyed_table_action(arrivals.output), "update", [["a b"], ["a"]])
+    smaller = f"{arrivals.home}/smaller"
+    outputs.rewrite_keyed_table(spark, arrivals.output, ["word"], smaller)
+    assert (read_batches(spark, arrivals.output).count(), read_batches(spark, smaller).count()) == (3, 2)
+    feed(arrivals, lines, count, outputs.keyed_table_action(smaller), "update", [["a c"]])
+    assert dict(rows(outputs.keyed_table(spark, smaller, ["word"]))) == {"a": 3, "b": 1, "c": 1}
+
+
 def test_stream_of_one_file_or_directory(spark, tmp_path):
     spark.range(4).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
     pq.write_table(pa.table({"id": [7, 8]}), tmp_path / "single.parquet")
