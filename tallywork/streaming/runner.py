@@ -97,12 +97,25 @@ def to_batch_dirs(path: str, function: BatchFunction | None = None) -> BatchActi
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All stored batches with their number in `batch_id`."""
-    reader = spark.read if schema is None else spark.read.schema(schema.add("batch_id", "int"))
-    rows = reader.parquet(path)
+    """All stored batches with their number in `batch_id`.
+
+    With a schema, a stream that has not stored anything yet gives no rows;
+    without one its missing folder is an error.
+    """
+    if schema is None:
+        rows = spark.read.parquet(path)
+    else:
+        stored = T.StructType([*schema.fields, T.StructField("batch_id", T.IntegerType())])
+        rows = spark.read.schema(stored).parquet(path) if _exists(spark, path) else spark.createDataFrame([], stored)
     return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the last stored batch; older directories are not read."""
     numbers = spark.read.parquet(path).select("batch_id").distinct()

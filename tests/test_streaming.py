@@ -87,6 +87,14 @@ def test_running_totals_with_the_recommended_settings(spark, lines, arrivals):
     assert per_batch(spark, arrivals.output, "amount") == UPDATES
 
 
+def test_no_batches_yet(spark, lines, arrivals):
+    schema = lines("x").schema
+    assert read_batches(spark, f"{arrivals.home}/nothing", schema).count() == 0
+    assert schema.fieldNames() == ["value"]
+    feed(arrivals, lines, lambda s: s, to_batch_dirs(arrivals.output), batches=[["a"], ["b"]])
+    assert rows(read_batches(spark, arrivals.output, schema)) == [("a", 0), ("b", 1)]
+
+
 def test_restart_reads_nothing_twice(spark, lines, arrivals):
     feed(arrivals, lines, total, to_batch_dirs(arrivals.output), "update")
     before = per_batch(spark, arrivals.output, "amount")
