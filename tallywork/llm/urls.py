@@ -40,38 +40,38 @@ RULES = [
     Rule("com", "/de/", "block"),
 ]
 
-#: Hand-labelled: hosts and paths of pages to keep, and of pages to block.
+#: Hand-labelled host names, of sites to keep and of sites to block.
 GOOD = """
-www.city-library.test/en/12 blog.gardening.test/en/340 news.daily.test/fr/77 m.recipes.test/es/91
-history.museum.test/de/5 www.weather.test/en/881 physics.university.test/en/63.html blog.travels.test/es/204
-docs.project.test/en/1 forum.cycling.test/de/442 www.morning-paper.test/en/19/ m.football.test/fr/620
-wiki.plants.test/en/704 blog.teachers.test/en/555 www.hospital.test/de/318 research.institute.test/en/96
-www.thinker.test/en/808 blog.another.test/fr/9 m.weathering.test/es/433 www.nations.test/en/270
-blog.theatre.test/en/185.html www.mountains.test/de/66 m.shelter.test/en/912 www.rendering.test/fr/131
-blog.together.test/es/52 www.heather.test/en/3 m.stationery.test/de/740 www.thousand.test/en/604
-library.readable.test/en/218 www.northern.test/fr/47/ blog.orchestra.test/en/999 m.reading.test/es/16
-www.attention.test/en/350 www.edition.test/en/761 blog.stable.test/de/28 www.shore.test/fr/593
-m.whisper.test/en/474.html blog.interests.test/es/839 www.eastern.test/en/105 www.kitchen.test/de/687
-www.tablets-review.test/en/41 blog.fishing.test/en/622 www.notion.test/en/88 m.thither.test/fr/270
+city-library gardening daily recipes museum weather physics travels project forum morning-paper football plants
+teachers hospital research thinker another weathering nations theatre mountains shelter rendering together heather
+stationery thousand readable northern orchestra reading attention edition stable shore whisper interests eastern
+kitchen tablets-review fishing notion thither that-nation other-side tionary theory thread thing-shop throne sheet
+thistle thebes through then-there thorns shared lyon inland onthe-road enable orient tideland housing wharf handle
+thtion ththand therone tionand ththread tionly ththnes theres therwhat inthere thand ontion ththeat tithe thable
 """.split()
 BAD = """
-www.casino-royal.test/en/12 casino-win.test/fr/77 win-casino.test/en/301 best-casino.test/de/8
-cheap-meds.test/en/340 www.cheap-pills.test/es/91 pills-online.test/en/5 buy-pills.test/en/881
-free-bets.test/en/63 www.bets-now.test/fr/204 sport-bets.test/de/1 free-money.test/en/442
-adult-video.test/en/19 www.adult-x.test/es/620 xxx-adult.test/en/704 adult-chat.test/de/555
-spam-list.test/en/318 www.spam-farm.test/en/96 link-farm.test/fr/808 content-farm.test/en/9
-ads-server.test/en/433 www.ads-track.test/de/270 track-ads.test/en/185 click-track.test/es/66
-ads-click.test/en/912 free-casino.test/fr/131 cheap-loans.test/en/52 cheap-bets.test/en/3
-win-free.test/de/740 free-pills.test/en/604 spam-ads.test/es/218 www.casino-bets.test/en/47
-adult-free.test/en/999 pills-farm.test/fr/16 track-spam.test/en/350 cheap-casino.test/en/761
+casino-royal casino-win win-casino best-casino cheap-meds cheap-pills pills-online buy-pills free-bets bets-now
+sport-bets free-money adult-video adult-x xxx-adult adult-chat spam-list spam-farm link-farm content-farm ads-server
+ads-track track-ads click-track ads-click free-casino cheap-loans cheap-bets win-free free-pills spam-ads
+casino-bets adult-free pills-farm track-spam cheap-casino x-adult hot-adult big-win money-win spam-mail spam-click
 """.split()
+PLACES = [
+    "www.{}.test/en/12", "blog.{}.example.net/fr/340", "m.{}.example.com/en/77.html", "{}.example.org/es/91/",
+    "{}.example.net/de/5", "www.{}.example.net/en/881", "{}.example.com/es/63", "blog.{}.test/de/204",
+]
 
 
 def labelled(spark: SparkSession) -> DataFrame:
-    """The labelled URL table: `url`, and `label` 1.0 for those to block."""
-    rows = [F.struct(F.lit(f"http://{url}").alias("url"), F.lit(label).alias("label"))
-            for label, urls in ((0.0, GOOD), (1.0, BAD)) for url in urls]
-    return spark.range(1, numPartitions=1).select(F.inline(F.array(*rows)))
+    """The labelled URL table: `url`, and `label` 1.0 for those to block.
+
+    Every labelled name stands in every place, so that only names tell the labels apart.
+    """
+    names = [F.struct(F.lit(name).alias("name"), F.lit(label).alias("label"))
+             for label, listed in ((0.0, GOOD), (1.0, BAD)) for name in listed]
+    places = F.array(*[F.lit(place) for place in PLACES])
+    rows = spark.range(1, numPartitions=1).select(F.inline(F.array(*names)))
+    rows = rows.select("name", "label", F.explode(places).alias("place"))
+    return rows.select(F.concat(F.lit("http://"), F.expr("replace(place, '{}', name)")).alias("url"), "label")
 
 
 def host(url: Column) -> Column:
