@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import simhash
+from tallywork.llm import simhash, tokens
 from tallywork.llm.registry import query, table
-from tallywork.llm.scratch import Scratch
+from tallywork.llm.scratch import Scratch, shared_folder
 
 
 @query("op2_simhash_near_dedup")
@@ -15,3 +17,15 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the least doc_id of its group."""
     found = simhash.groups(table(spark, sf_dir, "documents"), Scratch(spark))
     return found.select("doc_id", simhash.hex_digits(F.col("print")).alias("fingerprint"), "component_id")
+
+
+@query("op7_token_output")
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written to token files and read back: place, number and checksum of its ids."""
+    path = shared_folder(spark)
+    tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    read = tokens.read_tokens(spark, path).select(
+        "part", "shard", "place", "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
+    )
+    return tokens.starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
