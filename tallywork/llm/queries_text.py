@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import simhash, tokens
+from tallywork.llm import packing, simhash, tokens
 from tallywork.llm.registry import query, table
 from tallywork.llm.scratch import Scratch, shared_folder
 
@@ -29,3 +29,9 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
     )
     return tokens.starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op4_best_fit_packing")
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence; equal texts and equal sources are kept apart."""
+    return packing.pack(packing.lengths(table(spark, sf_dir, "documents")), Scratch(spark))
