@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.llm import language
+from tallywork.llm import language, lm
 from tallywork.llm.registry import query, table
+from tallywork.llm.scratch import Scratch
 
 
 def _fold() -> Column:
@@ -21,3 +22,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(spark, docs.select("doc_id", (_fold() == 0).alias("held_out"), "text"), langs, matrix).drop(
         "text"
     )
+
+
+@query("op9_lm_scoring")
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the model that the documents outside fold 1 train."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", (_fold() == 1).alias("held_out"), "text")
+    model = lm.train(docs.filter(~F.col("held_out") | F.col("held_out").isNull()), Scratch(spark))
+    scored = lm.score(docs.select("doc_id", "held_out", F.col("text").alias("whole")), model, "whole")
+    return scored.drop("whole", "perplexity")
