@@ -103,8 +103,15 @@ def clean_documents(docs: DataFrame, items: DataFrame, window: int = WINDOW) ->
     bad = report(docs, items, window).filter("contaminated").select(
         F.col("doc_id").alias("_bad_id"), F.col("_hash").alias("_bad_hash")
     ).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_hash"))
-    return docs.join(bad, same, "left_anti")
+    return _rows(docs).join(bad, _same_row(), "left_anti").select("_row.*")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    return docs.select(F.struct("*").alias("_row"), F.xxhash64("text").alias("_hash"))
+
+
+def _same_row() -> Column:
+    return F.col("_row.doc_id").eqNullSafe(F.col("_bad_id")) & (F.col("_hash") == F.col("_bad_hash"))
 
 
 def clean_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -112,15 +119,16 @@ def clean_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Data
     found = report(docs, items, window).filter("contaminated").select(
         F.col("doc_id").alias("_bad_id"), F.col("_hash").alias("_bad_hash"), F.col("spans").alias("_spans")
     ).dropDuplicates(["_bad_id", "_bad_hash"])
-    same = F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (F.xxhash64("text") == F.col("_bad_hash"))
-    marked = docs.join(found, same, "left")
-    # Words stand at the odd places of the list of gaps and words, whatever the text begins with.
+    # A piece is a word and the gap after it.
     word = WORD.replace(r"\x3A-\x60", r"\x3A-\x40\x5B-\x60")
     gap = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
-    pieces = F.regexp_extract_all("text", F.lit(f"{word}{gap}"), F.lit(0))
-    head = F.regexp_extract("text", f"^{gap}", 0)
+    text = F.col("_row.text")
+    pieces = F.regexp_extract_all(text, F.lit(f"{word}{gap}"), F.lit(0))
+    head = F.regexp_extract(text, f"^{gap}", 0)
     kept = F.filter(
         pieces, lambda piece, n: ~F.exists("_spans", lambda span: (n >= span["pos"]) & (n < span["end"]))
     )
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.concat(head, F.array_join(kept, "")))
-    return marked.withColumn("text", text).select(*docs.columns)
+    cut = F.when(F.col("_spans").isNull(), text).otherwise(F.concat(head, F.array_join(kept, "")))
+    return _rows(docs).join(found, _same_row(), "left").select(F.col("_row").withField("text", cut).alias("_row")).select(
+        "_row.*"
+    )

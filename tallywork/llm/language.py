@@ -110,5 +110,5 @@ def predict(spark: SparkSession, docs: DataFrame, langs: list[str], matrix: np.n
         names, odds = score(list(texts), langs, shared.value)
         return pd.DataFrame({"lang_pred": names, "score": odds})
 
-    own = [name for name in docs.columns if name not in ("lang_pred", "score")]
-    return docs.select(*own, judged("text").alias("_judged")).select(*own, "_judged.*")
+    own = F.struct(*[name for name in docs.columns if name not in ("lang_pred", "score")])
+    return docs.select(own.alias("row"), judged("text").alias("judged")).select("row.*", "judged.*")

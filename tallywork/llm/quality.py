@@ -55,13 +55,12 @@ def mask(names: list[str], rules: list[Rule] = RULES) -> int:
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements, as longs."""
-    docs = docs.drop(*MEASURES)
-    full = F.coalesce(F.col(text), F.lit(""))
-    docs = computed(docs, "_words", words(F.col(text)))
-    found = F.col("_words")
+    own = F.struct(*[name for name in docs.columns if name not in (*MEASURES, "failed")])
+    rows = computed(docs.select(own.alias("_row"), F.col(text).alias("_text")), "_words", words(F.col("_text")))
+    found, full = F.col("_words"), F.coalesce(F.col("_text"), F.lit(""))
     lines = F.filter(F.split(full, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    docs = docs.select(
-        "*",
+    rows = rows.select(
+        "_row",
         F.size(found).cast("long").alias("n_words"),
         F.char_length(F.array_join(found, "")).cast("long").alias("word_chars"),
         F.regexp_count(full, F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -71,11 +70,11 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         ).alias("_lines"),
         _repeat_words(found).cast("long").alias("n_repeat_words"),
     )
-    return docs.select(
-        "*",
-        F.col("_lines.all").cast("long").alias("n_lines"),
-        (F.col("_lines.all") - F.col("_lines.unlike")).cast("long").alias("n_dup_lines"),
-    ).drop("_words", "_lines")
+    every, unlike = F.col("_lines.all").cast("long"), F.col("_lines.unlike").cast("long")
+    return rows.select(
+        "_row.*", "n_words", "word_chars", "n_symbols", every.alias("n_lines"), (every - unlike).alias("n_dup_lines"),
+        "n_repeat_words",
+    )
 
 
 def _repeat_words(found: Column) -> Column:

@@ -130,10 +130,10 @@ def first_rule(rules: list[Rule] = RULES) -> Column:
 
 def judge(pages: DataFrame, model: PipelineModel, rules: list[Rule] = RULES, url: str = "url") -> DataFrame:
     """Add `host`, `path`, `rule` and `verdict`; columns of the input with these names are replaced."""
-    own = [name for name in pages.columns if name not in ("host", "path", "rule", "verdict")]
-    scored = model.transform(parts(pages.select(*own), url)).withColumn("_rule", first_rule(rules))
+    own = F.struct(*[name for name in pages.columns if name not in ("host", "path", "rule", "verdict")])
+    scored = model.transform(parts(pages.select(own.alias("_row"), F.col(url).alias("url"))))
     method = F.when(F.col("_block") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
-    return scored.select(
-        *own, "host", "path", F.col("_rule.rule").alias("rule"),
+    return scored.withColumn("_rule", first_rule(rules)).select(
+        "_row.*", "host", "path", F.col("_rule.rule").alias("rule"),
         F.coalesce(F.col("_rule.verdict"), method).alias("verdict"),
     )
