@@ -7,21 +7,24 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallywork.functions.text import java_split, typed
 
-def ip_to_long(ip: Column) -> Column:
+
+def ip_to_long(ip: Column, strict: bool = True) -> Column:
     """Fold dotted numbers into one long: `acc << 8 | part`, left to right.
 
-    Octets are not range-checked.
+    Octets are not range-checked. An address that is no list of numbers fails
+    the job when strict, else gives null, whatever the session's ANSI setting is.
     """
-    return parts_to_long(ip_parts(ip))
+    return parts_to_long(ip_parts(ip), strict)
 
 
 def ip_parts(ip: Column) -> Column:
-    """The dotted numbers as texts."""
-    return F.split(ip, "[.]")
+    """The dotted numbers as texts; dots at the end separate nothing."""
+    return java_split(ip, ".")
 
 
-def parts_to_long(parts: Column) -> Column:
+def parts_to_long(parts: Column, strict: bool = True) -> Column:
     """The fold over split parts, without a lambda so that it stays in code generation.
 
     A part that is i places from the end ends up shifted by 8 * i bits. From
@@ -30,9 +33,10 @@ def parts_to_long(parts: Column) -> Column:
     """
 
     def shifted(place: int, part: Column) -> Column:
-        return F.shiftleft(part.cast("bigint"), 8 * place)
+        return F.shiftleft(typed(part, "bigint", strict), 8 * place)
 
-    four = [shifted(3 - index, parts.getItem(index)) for index in range(4)]
+    four = [shifted(3 - index, F.get(parts, F.lit(index))) for index in range(4)]
     last = F.size(parts) - 1
-    eight = [F.coalesce(shifted(place, F.get(parts, last - place)), F.lit(0)) for place in range(8)]
+    eight = [F.when(last < place, F.lit(0).cast("bigint")).otherwise(shifted(place, F.get(parts, last - place)))
+             for place in range(8)]
     return F.when(F.size(parts) == 4, reduce(Column.bitwiseOR, four)).otherwise(reduce(Column.bitwiseOR, eight))

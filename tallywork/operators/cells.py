@@ -57,12 +57,14 @@ def count_row_keys(cells: DataFrame) -> DataFrame:
 
 
 def cell_lines(cells: DataFrame, rows: int = 5) -> DataFrame:
-    """The latest cells of the first few row keys, one printable line per cell."""
-    first = cells.select("row_key").distinct().orderBy("row_key").limit(rows)
-    # `first` has `rows` rows at most.
-    chosen = latest_cells(cells.join(F.broadcast(first), "row_key", "left_semi"))
+    """The latest cells of the first few row keys, one printable line per cell.
+
+    The cells are read once. A row key's latest cells, which are as many as the
+    table has columns, are gathered before the first keys are taken.
+    """
     line = F.concat(
         F.col("family"), F.lit(":"), F.col("qualifier"), F.lit(" = "), F.col("value"),
         F.lit(", version -> "), F.col("version").cast("string"),
     )
-    return chosen.select("row_key", line.alias("line"))
+    per_key = latest_cells(cells).groupBy("row_key").agg(F.collect_list(line).alias("lines"))
+    return per_key.orderBy("row_key").limit(rows).select("row_key", F.explode("lines").alias("line"))

@@ -1,71 +1,141 @@
 """Subtotals on several grouping levels.
 
-All forms first aggregate to the finest level and then derive the other levels
-from that result. A plain `rollup` or `cube` multiplies every input row by the
-number of levels before its first aggregation; here the big input is read and
-combined once, and only the reduced rows are multiplied. That is exact for
-measures that add up, which counts and sums do.
+A plain `rollup` or `cube` multiplies every input row by the number of levels
+before its first aggregation. Measures that can be merged are first aggregated
+to the finest level here, and only the reduced rows are multiplied. A measure
+states how: counts and sums add up, extremes take the extreme, averages come
+from a sum and a count. Any other aggregate, given as a plain column, goes
+through Spark's own grouping, and with it the measures beside it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A measure is a name and an aggregate over the input rows that can be summed.
-Measures = dict[str, Column]
 
+@dataclass(frozen=True)
+class Measure:
+    """An aggregate in two steps.
 
-def count_rows() -> Column:
-    """The measure most reports want."""
-    return F.count(F.lit(1))
+    `parts` are aggregates over the input rows; `merge` gets as many columns,
+    which hold the parts of finer groups, and aggregates them to the result.
+    """
 
+    parts: tuple[Column, ...]
+    merge: Callable[..., Column]
 
-def _finest(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
-    return df.groupBy(*keys).agg(*[measure.alias(name) for name, measure in measures.items()])
 
+Measures = dict[str, "Measure | Column"]
 
-def _merged(measures: Measures) -> list[Column]:
-    return [F.sum(name).alias(name) for name in measures]
+
+def count_rows() -> Measure:
+    """The number of rows; none on empty input is 0."""
+    return Measure((F.count(F.lit(1)),), lambda part: F.coalesce(F.sum(part), F.lit(0)))
+
+
+def count_of(column: str) -> Measure:
+    """The number of values that are not null."""
+    return Measure((F.count(column),), lambda part: F.coalesce(F.sum(part), F.lit(0)))
+
+
+def total(column: str) -> Measure:
+    return Measure((F.sum(column),), F.sum)
+
+
+def lowest(column: str) -> Measure:
+    return Measure((F.min(column),), F.min)
+
+
+def highest(column: str) -> Measure:
+    return Measure((F.max(column),), F.max)
+
+
+def average(column: str) -> Measure:
+    """The mean as a double; null if there is no value."""
+    return Measure(
+        (F.sum(column), F.count(column)),
+        lambda sums, counts: F.try_divide(F.sum(sums).cast("double"), F.sum(counts).cast("double")),
+    )
 
 
 def _level() -> Column:
     return F.grouping_id().cast("bigint").alias("level_id")
 
 
+def _parts(measures: Measures) -> dict[str, list[str]] | None:
+    """Names of the columns that hold each measure's parts; None if one cannot be merged."""
+    if not all(isinstance(measure, Measure) for measure in measures.values()):
+        return None
+    return {name: [f"_{name}_{n}" for n in range(len(measure.parts))] for name, measure in measures.items()}
+
+
+def _finest(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
+    parts = _parts(measures)
+    columns = [part.alias(held) for name in measures for part, held in zip(measures[name].parts, parts[name])]
+    return df.groupBy(*keys).agg(*columns)
+
+
+def _merged(measures: Measures) -> list[Column]:
+    parts = _parts(measures)
+    return [measure.merge(*map(F.col, parts[name])).alias(name) for name, measure in measures.items()]
+
+
+def _whole(measures: Measures) -> list[Column]:
+    """The measures over input rows, for Spark's own grouping."""
+    def aggregate(measure: Measure | Column) -> Column:
+        if isinstance(measure, Column):
+            return measure
+        if len(measure.parts) == 1:
+            return measure.parts[0]
+        sums, counts = measure.parts
+        return F.try_divide(sums.cast("double"), counts.cast("double"))
+
+    return [aggregate(measure).alias(name) for name, measure in measures.items()]
+
+
+def _grouped(df: DataFrame, keys: list[str], measures: Measures, levels: Callable) -> DataFrame:
+    if _parts(measures) is None:
+        return levels(df).agg(*_whole(measures), _level())
+    return levels(_finest(df, keys, measures)).agg(*_merged(measures), _level())
+
+
 def grouping_sets(
     df: DataFrame, keys: list[str], sets: list[list[str]], measures: Measures
 ) -> DataFrame:
     """Chosen levels; a key outside a level is null, `level_id` tells it from a real null."""
-    finest = _finest(df, keys, measures)
     columns = [[F.col(name) for name in level] for level in sets]
-    return finest.groupingSets(columns, *keys).agg(*_merged(measures), _level())
+    return _grouped(df, keys, measures, lambda rows: rows.groupingSets(columns, *keys))
 
 
 def rollup(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
     """Every prefix of the keys, down to the grand total."""
-    return _finest(df, keys, measures).rollup(*keys).agg(*_merged(measures), _level())
+    return _grouped(df, keys, measures, lambda rows: rows.rollup(*keys))
 
 
 def cube(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
     """Every subset of the keys."""
-    return _finest(df, keys, measures).cube(*keys).agg(*_merged(measures), _level())
+    return _grouped(df, keys, measures, lambda rows: rows.cube(*keys))
 
 
 def subtotals_union(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
     """Rollup levels stacked by `UNION ALL`, with `''` where a level has no key.
 
-    The levels share the finest aggregation, which Spark computes once.
+    Measures that can be merged share the finest aggregation, which Spark
+    computes once; others aggregate the input per level.
     """
-    finest = _finest(df, keys, measures)
+    mergeable = _parts(measures) is not None
+    rows = _finest(df, keys, measures) if mergeable else df
+    columns = _merged(measures) if mergeable else _whole(measures)
 
     def level(depth: int) -> DataFrame:
         kept = keys[:depth]
-        totals = finest if depth == len(keys) else finest.groupBy(*kept).agg(*_merged(measures))
         blanks = [F.lit("").alias(name) for name in keys[depth:]]
-        return totals.select(*kept, *blanks, *measures)
+        return rows.groupBy(*kept).agg(*columns).select(*kept, *blanks, *measures)
 
     return reduce(DataFrame.unionByName, [level(depth) for depth in range(len(keys) + 1)])
 

@@ -12,8 +12,6 @@ checked while the pieces are made and fails the job otherwise.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,21 +21,11 @@ from tallywork.functions.text import computed_once
 # Block sizes are 2**level addresses. Ranges are first cut at the largest block.
 LEVELS = (16, 12, 8, 4, 0)
 TOP = LEVELS[0]
-# Largest number of pieces that is broadcast.
-BROADCAST_PIECES = 1_000_000
-# Probe rows of one address that one task should handle.
+# Probe rows of one address that one task should handle. The rows of an address
+# with more are split, and the table of such addresses has one row per this many
+# probe rows at most: 16 bytes each, 3 MB at 10**12 rows.
 ROWS_PER_SPLIT = 5_000_000
-# Addresses that are split over tasks, at most; their table is broadcast.
-MAX_SPLIT_ADDRESSES = 10_000
-HELPERS = ["_number", "_parts", "_key", "_piece_start", "_piece_end"]
-
-
-@dataclass(frozen=True)
-class LookupSize:
-    """Number of pieces of a lookup table, and the levels they lie on."""
-
-    pieces: int
-    levels: tuple[int, ...]
+HELPERS = ["_number", "_parts"]
 
 
 def overlapping_ranges(ranges: DataFrame) -> DataFrame:
@@ -46,16 +34,6 @@ def overlapping_ranges(ranges: DataFrame) -> DataFrame:
     return cut.where(F.col("_covered") >= F.col("_piece_start")).select(*ranges.columns)
 
 
-def lookup_size(ranges: DataFrame) -> LookupSize:
-    """Count the pieces of a lookup table; one pass over the table."""
-    cut = _cut_at_top(ranges)
-    found = cut.agg(
-        F.coalesce(F.sum(_piece_count()), F.lit(0)).alias("pieces"),
-        F.collect_set(_level()).alias("levels"),
-    ).first()
-    return LookupSize(found.pieces, tuple(sorted(found.levels, reverse=True)))
-
-
 def _cut_at_top(ranges: DataFrame) -> DataFrame:
     """Ranges cut at the borders of the largest blocks."""
     first, last = F.shiftright("start_ip", TOP), F.shiftright("end_ip", TOP)
@@ -90,11 +68,6 @@ def _level() -> Column:
     return level
 
 
-def _piece_count() -> Column:
-    """Blocks that a cut range touches on its level."""
-    return _block_of("_piece_end", _level()) - _block_of("_piece_start", _level()) + 1
-
-
 def _block_of(position: str, level: Column) -> Column:
     return F.call_function("shiftright", F.col(position), level)
 
@@ -116,92 +89,59 @@ def _pieces(ranges: DataFrame) -> DataFrame:
     return keyed.drop("start_ip", "end_ip", "_block", "_covered", "_level")
 
 
-def _numbered(probe: DataFrame, ip: str) -> DataFrame:
+def _numbered(probe: DataFrame, ip: str, strict: bool) -> DataFrame:
     split = computed_once(probe, "_parts", ip_parts(F.col(ip)))
-    return computed_once(split, "_number", parts_to_long(F.col("_parts"))).drop("_parts")
+    return computed_once(split, "_number", parts_to_long(F.col("_parts"), strict)).drop("_parts")
 
 
-def _located(numbered: DataFrame, pieces: DataFrame, levels: tuple[int, ...]) -> DataFrame:
-    """Rows with a `_number` joined with the piece that holds it."""
-    keys = [_key(F.shiftright("_number", level), F.lit(level)) for level in levels or LEVELS[:1]]
-    candidates = numbered.withColumn("_key", F.explode(F.array(*keys))).join(pieces, "_key")
-    return candidates.where(F.col("_number").between(F.col("_piece_start"), F.col("_piece_end")))
+def _located(counts: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Distinct addresses with the attributes of the range that holds them."""
+    keys = [_key(F.shiftright("_number", level), F.lit(level)) for level in LEVELS]
+    candidates = counts.withColumn("_key", F.explode(F.array(*keys))).join(_pieces(ranges), "_key")
+    found = candidates.where(F.col("_number").between(F.col("_piece_start"), F.col("_piece_end")))
+    return found.drop("_key", "_piece_start", "_piece_end")
 
 
-def range_lookup(
-    probe: DataFrame,
-    ranges: DataFrame,
-    ip: str = "ip",
-    *,
-    spread_by: list[str] | None = None,
-    max_pieces: int = BROADCAST_PIECES,
-) -> DataFrame:
-    """Probe rows with the attributes of the range that holds their address.
-
-    Unmatched rows are dropped. A lookup table of at most `max_pieces` pieces is
-    broadcast and the probe side is not shuffled; a larger one takes
-    `range_lookup_bucketed`.
-    """
-    size = lookup_size(ranges)
-    if size.pieces > max_pieces:
-        return range_lookup_bucketed(probe, ranges, ip, spread_by=spread_by, size=size)
-    found = _located(_numbered(probe, ip), F.broadcast(_pieces(ranges)), size.levels)
-    return found.drop(*HELPERS)
+def _address_counts(numbered: DataFrame) -> DataFrame:
+    present = numbered.where(F.col("_number").isNotNull())
+    return present.groupBy("_number").agg(F.count(F.lit(1)).alias("_hits"))
 
 
-def range_lookup_bucketed(
+def range_lookup(
     probe: DataFrame,
     ranges: DataFrame,
     ip: str = "ip",
     *,
     spread_by: list[str] | None = None,
     rows_per_split: int = ROWS_PER_SPLIT,
-    size: LookupSize | None = None,
+    strict: bool = True,
 ) -> DataFrame:
-    """`range_lookup` for lookup tables of any size, by shuffles.
-
-    Each distinct address is located once; the largest block holds 2**16
-    addresses, so no join key is hot there. The probe rows then fetch the result
-    by their address. `spread_by` names columns that tell probe rows apart, such
-    as a row id: with it, the rows of a frequent address are spread over several
-    tasks, and its one result row is repeated for each. Without it, adaptive
-    skew-join handling is the only protection.
+    """Probe rows with the attributes of the range that holds their address.
+
+    Unmatched rows are dropped, and an unreadable address fails the job, or is
+    dropped if not strict. Each distinct address is located once; the largest
+    block holds 2**16 addresses, so no join key is hot there, and Spark's own
+    size estimate decides what is broadcast. The probe rows then fetch the
+    result by their address. The rows of a frequent address are spread over
+    several tasks by a hash of `spread_by`, all columns unless stated, and its
+    one result row is repeated for each.
     """
-    numbered = _numbered(probe, ip)
+    numbered = _numbered(probe, ip, strict)
     counts = _address_counts(numbered)
-    levels = (size or lookup_size(ranges)).levels
-    results = _located(counts, _pieces(ranges), levels).drop("_key", "_piece_start", "_piece_end")
-    if not spread_by:
-        return numbered.join(results.drop("_hits"), "_number").drop(*HELPERS)
-    # Of all addresses, fewer than MAX_SPLIT_ADDRESSES can be above this share of the rows.
-    share = counts.agg(F.ceil(F.sum("_hits") / MAX_SPLIT_ADDRESSES)).scalar()
-    threshold = F.greatest(F.lit(rows_per_split).cast("bigint"), F.coalesce(share, F.lit(0)))
-    splits = F.when(F.col("_hits") > threshold, F.ceil(F.col("_hits") / rows_per_split)).otherwise(1)
-    busy = counts.where(F.col("_hits") > threshold).select("_number", splits.cast("bigint").alias("_splits"))
-    salt = F.pmod(F.xxhash64(*spread_by), F.coalesce(F.col("_splits"), F.lit(1)))
+    splits = F.greatest(F.ceil(F.col("_hits") / rows_per_split), F.lit(1)).cast("bigint")
+    busy = counts.where(F.col("_hits") > rows_per_split).select("_number", splits.alias("_splits"))
+    salt = F.pmod(F.xxhash64(*(spread_by or probe.columns)), F.coalesce(F.col("_splits"), F.lit(1)))
     left = numbered.join(F.broadcast(busy), "_number", "left").withColumn("_salt", salt).drop("_splits")
-    right = results.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), splits.cast("bigint") - 1)))
+    right = _located(counts, ranges).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), splits - 1))
+    )
     return left.join(right.drop("_hits"), ["_number", "_salt"]).drop("_salt", *HELPERS)
 
 
-def _address_counts(numbered: DataFrame) -> DataFrame:
-    present = numbered.where(F.col("_number").isNotNull())
-    return present.groupBy("_number").agg(F.count(F.lit(1)).alias("_hits"))
-
-
-def geo_heat(
-    probe: DataFrame, ranges: DataFrame, ip: str = "ip", *, max_pieces: int = BROADCAST_PIECES
-) -> DataFrame:
+def geo_heat(probe: DataFrame, ranges: DataFrame, ip: str = "ip", *, strict: bool = True) -> DataFrame:
     """Hits per `(longitude, latitude)`.
 
-    With a large lookup table, hits are first counted per address, and only the
-    distinct addresses are located.
+    Hits are first counted per address, and only the distinct addresses are located.
     """
-    coordinates = ["longitude", "latitude"]
-    size = lookup_size(ranges)
-    numbered = _numbered(probe.select(ip), ip)
-    if size.pieces <= max_pieces:
-        found = _located(numbered, F.broadcast(_pieces(ranges)), size.levels)
-        return found.groupBy(*coordinates).agg(F.count(F.lit(1)).alias("total_count"))
-    found = _located(_address_counts(numbered), _pieces(ranges), size.levels)
-    return found.groupBy(*coordinates).agg(F.sum("_hits").alias("total_count"))
+    counts = _address_counts(_numbered(probe.select(ip), ip, strict))
+    return _located(counts, ranges).groupBy("longitude", "latitude").agg(F.sum("_hits").alias("total_count"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -15,12 +17,14 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Base rows without a newer row for their key, and the last update of every key.
+    """The base with the last update of every key in place of its row, or added.
 
-    The last update per key wins whatever the base holds. Only keys of `updates`
-    go through the grouping; base rows only meet an anti-join, which Spark
-    broadcasts when the updates are small.
+    The last update per key wins whatever the base holds. A null key is a key
+    like any other. The base has one row per key. Each side is read once: only
+    updates are grouped, and one full join tells which rows stay.
     """
     last = latest_per_key(updates, keys, order)
-    kept = base.join(last.select(*keys), keys, "left_anti")
-    return kept.unionByName(last)
+    old = base.select(F.struct(*base.columns).alias("_old"))
+    new = last.select(F.struct(*base.columns).alias("_new"))
+    same = reduce(Column.__and__, [F.col(f"_old.{key}").eqNullSafe(F.col(f"_new.{key}")) for key in keys])
+    return old.join(new, same, "full").select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")

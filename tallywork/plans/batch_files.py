@@ -118,15 +118,30 @@ def _customer_table(spark: SparkSession, sf_dir: str) -> str:
 
 @query("catalog_table", "SELECT c_custkey, c_name FROM customer")
 def catalog_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.read_table(spark, _customer_table(spark, sf_dir))
+    name = _customer_table(spark, sf_dir)
+    rows = catalog.read_table(spark, name)
+    catalog.drop_table(spark, name)  # its files stay
+    return rows
 
 
 @query("catalog_sql", "SELECT c_custkey, c_name FROM customer")
 def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _customer_table(spark, sf_dir)
-    return catalog.query_table(spark, f"SELECT c_custkey, c_name FROM {name}")
+    rows = catalog.query_table(spark, f"SELECT c_custkey, c_name FROM {name}")
+    catalog.drop_table(spark, name)
+    return rows
 
 
-@query("first_rows")
+@query(
+    "first_rows",
+    f"""
+    WITH w AS (SELECT DISTINCT word FROM ({inputs.words_sql("documents")}))
+    SELECT least(count(*), 10) AS taken, least(count(*), 10) AS found FROM w
+    """,
+)
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.first_rows(words.tokens(inputs.documents(spark, sf_dir)), 10)
+    """Which rows are first is open: how many there are, and how many of them the source holds."""
+    every = words.tokens(inputs.documents(spark, sf_dir)).select("word").distinct()
+    some = aggregates.first_rows(every, 10)
+    held = every.withColumn("held", F.lit(1))
+    return some.join(held, "word", "left").agg(F.count(F.lit(1)).alias("taken"), F.count("held").alias("found"))

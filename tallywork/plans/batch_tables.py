@@ -10,6 +10,7 @@ from tallywork.functions import user_functions
 from tallywork.operators import aggregates, cells, grouping, orders, partitions, ratings, records, topk, upsert
 from tallywork.plans import inputs
 from tallywork.plans.registry import query
+from tallywork.sources import files
 
 # --- whole set and keyed aggregates ---------------------------------------------------------
 
@@ -116,7 +117,7 @@ def _rows() -> dict:
 
 
 def _price() -> dict:
-    return {"total_price": F.sum("price")}
+    return {"total_price": grouping.total("price")}
 
 
 def _level_sql(levels: str, measure: str) -> str:
@@ -164,6 +165,27 @@ def cube_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_double(grouping.cube(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, _price()))
 
 
+@query(
+    "rollup_average",
+    _level_sql(
+        f"ROLLUP ({KEYS_SQL})",
+        "sum(price)::DOUBLE / count(price) AS avg_price, max(price)::DOUBLE AS top_price, min(price)::DOUBLE AS low_price",
+    ),
+)
+def rollup_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures = {
+        "avg_price": grouping.average("price"), "top_price": grouping.highest("price"), "low_price": grouping.lowest("price"),
+    }
+    levels = grouping.rollup(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, measures)
+    return levels.withColumns({name: F.col(name).cast("double") for name in ("top_price", "low_price")})
+
+
+@query("cube_distinct", _level_sql("CUBE (area, member_type, product)", "count(DISTINCT price) AS prices"))
+def cube_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A measure that cannot be merged goes through Spark's own cube."""
+    return grouping.cube(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, {"prices": F.count_distinct("price")})
+
+
 @query("group_sum", f"SELECT {KEYS_SQL}, {SUM_SQL} FROM ({inputs.MEMBER_ORDERS_SQL}) GROUP BY {KEYS_SQL}")
 def group_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = aggregates.group_sum(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, F.col("price"), "total_price")
@@ -385,48 +407,37 @@ def udaf_avg_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_functions.average_arrow(_balances(spark, sf_dir), ["c_mktsegment"], "balance", "avg_balance")
 
 
-# --- partitions ------------------------------------------------------------------------------------------
-
-# Bounds and predicates of the parallel reads, on prices in thousands.
-BOUNDS = (10, 200, 5)
-PREDICATES = [
-    "order_amt >= 20 AND order_amt < 30",
-    "order_amt >= 30 AND order_amt < 45",
-    "order_amt >= 45 AND order_amt < 80",
-    "order_amt >= 80 AND order_amt <= 200",
-]
-
+# --- partitions and local data -----------------------------------------------------------------------------
 
-def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.table(spark, sf_dir, "orders").select((F.col("o_totalprice") / 1000).alias("order_amt"))
 
-
-@query("partition_counts")
+@query("partition_counts", "SELECT count(*) AS cnt, count(*) > 0 AS any_partition FROM lineitem")
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partitions.partition_counts(inputs.table(spark, sf_dir, "lineitem"))
+    counts = partitions.partition_counts(inputs.table(spark, sf_dir, "lineitem"))
+    total = F.coalesce(F.sum("cnt"), F.lit(0)).alias("cnt")
+    return counts.agg(total, (F.count_distinct("partition_id") > 0).alias("any_partition"))
 
 
 @query(
-    "partition_counts_bounds",
-    """
-    SELECT CASE WHEN o_totalprice / 1000 >= 162 THEN 4 WHEN o_totalprice / 1000 >= 124 THEN 3
-                WHEN o_totalprice / 1000 >= 86 THEN 2 WHEN o_totalprice / 1000 >= 48 THEN 1 ELSE 0 END AS partition_id,
-           count(*) AS cnt
-    FROM orders GROUP BY 1
-    """,
+    "local_range",
+    "SELECT n AS id, count(o_orderkey) AS cnt FROM range(0, 7) AS r(n) LEFT JOIN orders ON o_orderkey % 7 = n GROUP BY n",
 )
-def partition_counts_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    target = partitions.bounds_partition(F.col("order_amt"), *BOUNDS).alias("partition_id")
-    return aggregates.keyed_count(_sales(spark, sf_dir).select(target), ["partition_id"])
+def local_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    numbers = files.local_range(spark, 0, 6, 2)
+    keys = inputs.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 7).alias("id"), F.lit(1).alias("one"))
+    return numbers.join(keys.groupBy("id").agg(F.count("one").alias("cnt")), "id", "left").fillna(0, ["cnt"])
+
+
+RANKS = [("1-URGENT", 1), ("2-HIGH", 2), ("3-MEDIUM", 3), ("4-NOT SPECIFIED", 4), ("5-LOW", 5)]
 
 
 @query(
-    "partition_counts_predicates",
-    "WITH s AS (SELECT o_totalprice / 1000 AS order_amt FROM orders) "
-    + " UNION ALL ".join(
-        f"SELECT {i} AS partition_id, count(*) AS cnt FROM s WHERE {text}" for i, text in enumerate(PREDICATES)
-    ),
+    "local_rows",
+    f"""
+    SELECT rank, count(*) AS cnt FROM orders
+    JOIN (VALUES {", ".join(map(str, RANKS))}) AS r(priority, rank) ON o_orderpriority = priority GROUP BY rank
+    """,
 )
-def partition_counts_predicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = partitions.predicate_partitions(_sales(spark, sf_dir), PREDICATES)
-    return aggregates.keyed_count(hits, ["partition_id"])
+def local_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = files.local_rows(spark, RANKS, "priority string, rank int")
+    orders_of = inputs.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("priority"))
+    return aggregates.keyed_count(orders_of.join(ranks, "priority"), ["rank"])

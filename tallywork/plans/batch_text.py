@@ -151,7 +151,7 @@ def range_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_lookup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = ip_range_records(spark, sf_dir)
     probe = ip_log_records(spark, sf_dir)
-    return ranges.range_lookup_bucketed(probe, table, spread_by=["event_id"]).select(*LOCATED)
+    return ranges.range_lookup(probe, table, rows_per_split=100).select(*LOCATED)
 
 
 @query("geo_heat", f"SELECT longitude, latitude, count(*) AS total_count FROM ({LOOKUP}) GROUP BY ALL")
@@ -183,7 +183,7 @@ def json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("decode_records", inputs.LOG_RECORDS_SQL)
 def decoded_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode_records(inputs.log_records(spark, sf_dir))
+    return decode_records(inputs.log_records(spark, sf_dir)).drop("timestamp")
 
 
 @query(

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tallywork.functions.clock import utc_instant
 from tallywork.functions.fields import utf8_bytes
-from tallywork.operators.partitions import spread_small
 
 MONEY = "decimal(18,2)"
 TEXT_SCHEMA = T.StructType([T.StructField("text", T.StringType())])
@@ -175,15 +174,16 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_log_records(table(spark, sf_dir, "events"))
 
 
-def as_log_records(events: DataFrame, keep: list[str] = ()) -> DataFrame:
+def as_log_records(events: DataFrame, keep: list[str] = (), separator: str = ",") -> DataFrame:
     """Records of one topic in three partitions; the event number is the offset."""
     return events.select(
         *keep,
         utf8_bytes(F.col("user_id").cast("string")).alias("key"),
-        utf8_bytes(F.concat_ws(",", F.col("event_type"), F.col("props"))).alias("value"),
+        utf8_bytes(F.concat_ws(separator, F.col("event_type"), F.col("props"))).alias("value"),
         F.lit("events").alias("topic"),
         (F.col("user_id") % 3).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
+        utc_instant(F.col("ts")).alias("timestamp"),
     )
 
 
@@ -196,7 +196,7 @@ LOG_RECORDS_SQL = """
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Document texts as lines."""
-    return spread_small(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value")))
+    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
 
 
 def time_slices(df: DataFrame, time: str, slices: int) -> DataFrame:

@@ -12,12 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallywork.functions.clock import utc_instant, utc_text
-from tallywork.functions.fields import record_view
+from tallywork.functions.fields import decode_records, record_view
 from tallywork.operators import orders, records, words
 from tallywork.plans import inputs
 from tallywork.plans.batch_text import COUNTS
 from tallywork.plans.registry import query
-from tallywork.sources.replay import stream_replay
 from tallywork.sources.streams import stream_lines, stream_parquet
 from tallywork.streaming import outputs, totals, windows
 from tallywork.streaming.runner import (
@@ -97,7 +96,7 @@ def stream_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = workspace(spark, "union-words")
     both = _stream_words(spark, sf_dir, "documents").union(_stream_words(spark, sf_dir, "conversations"))
-    action = outputs.keyed_table_action(f"{home}/output")
+    action = outputs.keyed_table_action(f"{home}/output", ["word"])
     run_available(words.word_count(both), action, f"{home}/checkpoint", "update")
     return outputs.keyed_table(spark, f"{home}/output", ["word"])
 
@@ -106,7 +105,7 @@ def stream_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_wc_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = workspace(spark, "words-update")
     counts = words.word_count(_stream_words(spark, sf_dir, "documents"))
-    run_available(counts, outputs.keyed_table_action(f"{home}/output"), f"{home}/checkpoint", "update")
+    run_available(counts, outputs.keyed_table_action(f"{home}/output", ["word"]), f"{home}/checkpoint", "update")
     return outputs.keyed_table(spark, f"{home}/output", ["word"])
 
 
@@ -114,27 +113,81 @@ def stream_wc_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_wc_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = workspace(spark, "words-complete")
     counts = words.word_count(_stream_words(spark, sf_dir, "documents"))
-    run_available(counts, to_batch_dirs(f"{home}/output"), f"{home}/checkpoint", "complete")
+    every_second = {"processingTime": "1 second"}
+    run_until_idle(counts, to_batch_dirs(f"{home}/output"), f"{home}/checkpoint", "complete", every_second)
     return latest_batch(spark, f"{home}/output")
 
 
 @query("stream_upsert", f"SELECT word, count(*) AS cnt FROM ({TALK_WORDS}) GROUP BY word")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = Arrivals(spark, "words-upsert", inputs.LINE_SCHEMA)
-    action = outputs.keyed_table_action(arrivals.output)
+    action = outputs.keyed_table_action(arrivals.output, ["word"], every=2)
     arrivals.run_slices(_talk(spark, sf_dir), "slice", SLICES, _count_words, action, "update")
     return outputs.keyed_table(spark, arrivals.output, ["word"])
 
 
-@query("replay_source_word_count", COUNTS)
-def replay_source_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    home = workspace(spark, "replay-words")
-    checkpoint = f"{home}/checkpoint"
-    path = inputs.table_path(sf_dir, "documents")
-    stream = stream_replay(spark, path, inputs.TEXT_SCHEMA, checkpoint, step=8)
-    counts = words.word_count(words.tokens(stream, "text"))
-    run_until_idle(counts, outputs.keyed_table_action(f"{home}/output"), checkpoint, "update")
-    return outputs.keyed_table(spark, f"{home}/output", ["word"])
+FILES = 4
+
+
+@query(
+    "stream_rate_cap",
+    f"SELECT {FILES} AS batches, 1 AS files_per_batch, count(*) AS cnt FROM ({inputs.ORDERS_SQL})",
+)
+def stream_rate_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per trigger: as many batches as files."""
+    home = workspace(spark, "rate-cap")
+    lines = inputs.order_lines(spark, sf_dir).select("value")
+    lines.repartition(FILES).write.text(f"{home}/input")
+    stream = stream_lines(spark, f"{home}/input", max_files=1).withColumn("file", F.col("_metadata.file_name"))
+    run_available(stream, to_batch_dirs(f"{home}/output"), f"{home}/checkpoint")
+    per_batch = read_batches(spark, f"{home}/output").groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("cnt"), F.count_distinct("file").alias("files")
+    )
+    return per_batch.agg(
+        F.count(F.lit(1)).cast("int").alias("batches"), F.max("files").cast("int").alias("files_per_batch"),
+        F.sum("cnt").alias("cnt"),
+    )
+
+
+RECORD_WORDS = inputs.words_sql("(SELECT event_type || ' ' || props AS record FROM events)", "record")
+
+
+def _record_arrivals(spark: SparkSession, sf_dir: str, name: str) -> tuple[Arrivals, DataFrame]:
+    """Log records whose bytes are words, in three slices by time."""
+    events = inputs.time_slices(inputs.table(spark, sf_dir, "events"), "ts", SLICES)
+    rows = inputs.as_log_records(events, keep=["slice"], separator=" ")
+    return Arrivals(spark, name, rows.drop("slice").schema), rows
+
+
+def _record_words(records_in: DataFrame) -> DataFrame:
+    return words.word_count(words.tokens(decode_records(records_in), "value"))
+
+
+@query("stream_record_word_count", f"SELECT word, count(*) AS cnt FROM ({RECORD_WORDS}) GROUP BY word")
+def stream_record_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    arrivals, rows = _record_arrivals(spark, sf_dir, "record-words")
+    action = outputs.keyed_table_action(arrivals.output, ["word"])
+    arrivals.run_slices(rows, "slice", SLICES, _record_words, action, "update")
+    return outputs.keyed_table(spark, arrivals.output, ["word"])
+
+
+@query(
+    "stream_batch_time",
+    f"""
+    WITH s AS (SELECT {inputs.TIME_SLICE_SQL} AS batch_id, event_type, props, ts FROM events)
+    SELECT batch_id, count(*) AS cnt, strftime(max(ts), '%Y/%m/%d %H:%M:%S') AS batch_time FROM s GROUP BY batch_id
+    """,
+)
+def stream_batch_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch's records, with the time of the batch."""
+    arrivals, rows = _record_arrivals(spark, sf_dir, "batch-time")
+
+    def count(batch: DataFrame) -> DataFrame:
+        return batch.agg(F.count(F.lit(1)).alias("cnt"))
+
+    action = to_batch_dirs(arrivals.output, outputs.stamped(count, "timestamp"))
+    arrivals.run_slices(rows, "slice", SLICES, lambda stream: stream, action)
+    return read_batches(spark, arrivals.output)
 
 
 # --- running totals --------------------------------------------------------------------------------
@@ -223,7 +276,7 @@ def stream_file_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs.order_lines(spark, sf_dir).select("value").write.text(f"{home}/input")
     lines = stream_lines(spark, f"{home}/input", MAX_FILES)
     counts = orders.province_count(records.parse_orders(lines, province="string"))
-    run_available(counts, outputs.keyed_table_action(f"{home}/output"), f"{home}/checkpoint", "update")
+    run_available(counts, outputs.keyed_table_action(f"{home}/output", ["province_id"]), f"{home}/checkpoint", "update")
     return outputs.keyed_table(spark, f"{home}/output", ["province_id"])
 
 
@@ -276,7 +329,7 @@ def daily_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
         sums = totals.daily_total(stream, "instant", ["event_type"], "amount_in")
         return sums.select(F.col("day_window.start").alias("start"), "event_type", "amount", "cnt")
 
-    action = outputs.keyed_table_action(arrivals.output)
+    action = outputs.keyed_table_action(arrivals.output, ["start", "event_type"])
     arrivals.run_slices(events, "slice", SLICES, daily, action, "update")
     rows = outputs.keyed_table(spark, arrivals.output, ["start", "event_type"])
     return rows.select(
@@ -345,7 +398,7 @@ def stream_window_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = events.select(utc_instant(F.col("ts")).alias("instant"), "event_type")
     counts = windows.event_windows(events, "instant", "4 hours", "2 hours", ["event_type"], F.count(F.lit(1)))
     rows = counts.select(F.col("window.start").alias("start"), "event_type", "cnt")
-    run_available(rows, outputs.keyed_table_action(f"{home}/output"), f"{home}/checkpoint", "update")
+    run_available(rows, outputs.keyed_table_action(f"{home}/output", ["start", "event_type"]), f"{home}/checkpoint", "update")
     table = outputs.keyed_table(spark, f"{home}/output", ["start", "event_type"])
     return table.select(utc_text(F.col("start")).alias("window_start"), "event_type", "cnt")
 

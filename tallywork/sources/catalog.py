@@ -13,6 +13,11 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Take a table out of the catalog; files that were given a path of their own stay."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalog table by name."""
     return spark.table(name)

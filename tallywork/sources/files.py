@@ -52,6 +52,11 @@ def local_range(spark: SparkSession, first: int, last: int, partitions: int) ->
     return spark.range(first, last + 1, 1, partitions)
 
 
+def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows of the program as a typed frame."""
+    return spark.createDataFrame(rows, schema)
+
+
 def write_pairs(df: DataFrame, path: str) -> None:
     """Two-column rows as `(a,b)` text lines; the directory must be new."""
     left, right = df.columns
@@ -72,5 +77,5 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 def key_value_lines(lines: DataFrame, separator: str = "\x01") -> DataFrame:
     """`key<separator>value` lines, by default with the byte 0x01 between."""
-    parts = F.split("value", separator)
+    parts = F.split("value", rf"\Q{separator}\E", 2)
     return lines.select(parts.getItem(0).cast("int").alias("key"), parts.getItem(1).alias("value"))

@@ -26,9 +26,8 @@ def read_bounded(
 ) -> DataFrame:
     """The whole table in equal strides of a numeric column.
 
-    The bounds set the stride and filter nothing: see
-    `operators.partitions.bounds_partition` for where each row goes, and count
-    rows with it first, as values outside the bounds pile up at the ends.
+    The bounds set the stride and filter nothing: values outside them pile up in
+    the first and the last partition.
     """
     return spark.read.jdbc(
         url, table, column=column, lowerBound=lower, upperBound=upper,
@@ -43,12 +42,26 @@ def read_by_predicates(
     return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
 
 
-def merge_statement(table: str, staging: str, keys: list[str], columns: list[str]) -> str:
-    """Standard MERGE from a staging table, replacing the non-key columns."""
-    match = " AND ".join(f"t.{key} = s.{key}" for key in keys)
+def upsert_statement(
+    table: str, staging: str, keys: list[str], columns: list[str], dialect: str = "standard"
+) -> str:
+    """One statement that inserts or replaces from a staging table, by dialect.
+
+    `standard` is MERGE; `mysql` and `postgresql` need a unique index on the keys.
+    """
+    names = ", ".join(columns)
     values = [name for name in columns if name not in keys]
+    if dialect == "mysql":
+        update = ", ".join(f"{name} = VALUES({name})" for name in values or keys[:1])
+        return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON DUPLICATE KEY UPDATE {update}"
+    if dialect == "postgresql":
+        update = ", ".join(f"{name} = EXCLUDED.{name}" for name in values)
+        then = f"DO UPDATE SET {update}" if values else "DO NOTHING"
+        return f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} ON CONFLICT ({', '.join(keys)}) {then}"
+    if dialect != "standard":
+        raise ValueError(f"unknown dialect {dialect}")
+    match = " AND ".join(f"t.{key} = s.{key}" for key in keys)
     update = ", ".join(f"{name} = s.{name}" for name in values)
-    names = ", ".join(columns)
     source = ", ".join(f"s.{name}" for name in columns)
     matched = f" WHEN MATCHED THEN UPDATE SET {update}" if values else ""
     return (
@@ -58,16 +71,19 @@ def merge_statement(table: str, staging: str, keys: list[str], columns: list[str
 
 
 def upsert_table(
-    df: DataFrame, url: str, table: str, staging: str, keys: list[str], properties: dict[str, str]
+    df: DataFrame, url: str, table: str, staging: str, keys: list[str], properties: dict[str, str],
+    dialect: str = "standard",
 ) -> None:
-    """Insert or replace rows by key: parallel write to a staging table, then one MERGE.
+    """Insert or replace rows by key: parallel write to a staging table, then one statement.
 
     `df` must hold one row per key (see `operators.upsert.latest_per_key`). The
     target changes in a single statement, so a failed task changes nothing, and
-    errors fail the job. Running it again gives the same table.
+    errors fail the job. Running it again gives the same table. The staging
+    table is dropped in the end.
     """
     df.write.jdbc(url, staging, mode="overwrite", properties=properties)
-    _execute(df.sparkSession, url, properties, merge_statement(table, staging, keys, df.columns))
+    _execute(df.sparkSession, url, properties, upsert_statement(table, staging, keys, df.columns, dialect))
+    _execute(df.sparkSession, url, properties, f"DROP TABLE {staging}")
 
 
 def _execute(spark: SparkSession, url: str, properties: dict[str, str], statement: str) -> None:
@@ -80,6 +96,10 @@ def _execute(spark: SparkSession, url: str, properties: dict[str, str], statemen
         jvm.java.lang.Class.forName(properties["driver"])
     connection = jvm.java.sql.DriverManager.getConnection(url, settings)
     try:
-        connection.createStatement().executeUpdate(statement)
+        prepared = connection.createStatement()
+        try:
+            prepared.executeUpdate(statement)
+        finally:
+            prepared.close()
     finally:
         connection.close()

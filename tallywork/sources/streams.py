@@ -20,13 +20,20 @@ def stream_parquet(
     """Parquet files as a stream; only the columns of `schema` are read.
 
     `path` may be a directory, a single file or a glob. The file source wants a
-    directory or a glob, so one bracket is added to make any path a glob.
+    directory or a glob, so one bracket makes a glob of a file's name.
     """
-    last = path[-1]
-    glob = path if any(char in path for char in "*?[{") else f"{path[:-1]}[{last}]"
+    path = path.rstrip("/") or "/"
+    glob = path if any(char in path for char in "*?[{") or _is_folder(spark, path) else f"{path[:-1]}[{path[-1]}]"
     return _capped(spark, max_files).schema(schema).parquet(glob)
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(context._jsc.hadoopConfiguration())
+    return files.exists(place) and files.getFileStatus(place).isDirectory()
+
+
 def _capped(spark: SparkSession, max_files: int | None):
     reader = spark.readStream
     return reader if max_files is None else reader.option("maxFilesPerTrigger", max_files)

@@ -8,37 +8,59 @@ from pyspark.sql import functions as F
 from tallywork.functions.clock import batch_time
 from tallywork.operators.upsert import latest_per_key
 from tallywork.sources.jdbc import upsert_table
-from tallywork.streaming.runner import BatchAction, BatchFunction, read_batches
+from tallywork.streaming.runner import BatchAction, BatchFunction, remove, stored_batches
 
 
-def keyed_table_action(path: str) -> BatchAction:
+def keyed_table_action(path: str, keys: list[str], every: int = 20) -> BatchAction:
     """Action that upserts the rows of an `update`-mode stream by their key.
 
-    Only the changed rows are written, under the number of their batch. A
-    repeated batch replaces its own rows, and a failed one fails the query and
-    leaves no rows behind.
+    A batch writes its changed rows under its number. Every `every` batches the
+    table as it stands becomes a new base, and what the base before it had made
+    superfluous is removed; that base and the changes since stay, so that a
+    repeated batch finds what it needs. A reader meets one base and fewer than
+    `every` changes.
     """
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+        if (batch_id + 1) % every:
+            return
+        bases = [number for number in stored_batches(spark, f"{path}/base") if number < batch_id]
+        table = _newest(spark, path, keys, bases, batch_id)
+        table.write.mode("overwrite").parquet(f"{path}/base/batch_id={batch_id}")
+        if bases:
+            for number in bases[:-1]:
+                remove(spark, f"{path}/base/batch_id={number}")
+            for number in stored_batches(spark, f"{path}/changes"):
+                if number <= bases[-1]:
+                    remove(spark, f"{path}/changes/batch_id={number}")
 
     return action
 
 
-def keyed_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The keyed table as it stands: per key the row of the newest batch."""
-    rows = read_batches(spark, path)
+def _newest(spark: SparkSession, path: str, keys: list[str], bases: list[int], last: int | None = None) -> DataFrame:
+    """The newest row per key of the last base and the changes after it."""
+    base = bases[-1] if bases else -1
+    stored = stored_batches(spark, f"{path}/changes")
+    numbers = [number for number in stored if number > base and (last is None or number <= last)]
+    parts = [f"{path}/base/batch_id={base}"] if bases else []
+    parts += [f"{path}/changes/batch_id={number}" for number in numbers]
+    rows = spark.read.option("basePath", f"{path}/changes").parquet(*parts) if not bases else _with_base(spark, path, base, parts)
     return latest_per_key(rows, keys, "batch_id").drop("batch_id")
 
 
-def rewrite_keyed_table(spark: SparkSession, path: str, keys: list[str], target: str) -> None:
-    """Copy a keyed table without its superseded rows.
+def _with_base(spark: SparkSession, path: str, base: int, parts: list[str]) -> DataFrame:
+    rows = spark.read.parquet(parts[0]).withColumn("batch_id", F.lit(base))
+    if len(parts) == 1:
+        return rows
+    changes = spark.read.option("basePath", f"{path}/changes").parquet(*parts[1:])
+    return rows.unionByName(changes)
 
-    For tables that a long stream has been adding to: stop the stream, rewrite,
-    and let it go on with `target`. Rows keep their batch numbers.
-    """
-    rows = latest_per_key(read_batches(spark, path), keys, "batch_id")
-    rows.write.partitionBy("batch_id").parquet(target)
+
+def keyed_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The keyed table as it stands: per key the row of the newest batch."""
+    return _newest(spark, path, keys, stored_batches(spark, f"{path}/base"))
 
 
 def jdbc_upsert_action(
@@ -56,11 +78,15 @@ def jdbc_upsert_action(
     return action
 
 
-def stamped(function: BatchFunction) -> BatchFunction:
-    """A batch function whose rows also carry the time their batch was run, in `batch_time`."""
+def stamped(function: BatchFunction, instant: str) -> BatchFunction:
+    """A batch function whose rows also carry the time of their batch, in `batch_time`.
+
+    The time is the latest `instant` of the batch's rows, so that a repeated
+    batch gets the same one.
+    """
 
     def with_time(batch: DataFrame) -> DataFrame:
-        return function(batch).withColumn("batch_time", batch_time(F.current_timestamp()))
+        return function(batch).withColumn("batch_time", batch_time(batch.select(F.max(instant)).scalar()))
 
     return with_time
 

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,49 +42,42 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tallywork-")
 
 
-@contextmanager
-def _state_partitions(spark: SparkSession) -> Iterator[None]:
-    """Start a query with one state partition per core at most.
+def start(
+    stream: DataFrame, action: BatchAction, checkpoint: str, mode: str = "append", trigger: dict | None = None
+) -> StreamingQuery:
+    """Start a query and return it; it runs until it is stopped.
 
-    Every state partition writes files in every batch, so more of them than can
-    run at once only add overhead. A query copies its session's settings when
-    it starts and keeps the number in its checkpoint, so the session gets its
-    own setting back at once.
+    `trigger` holds the arguments of Spark's trigger, such as
+    `{"processingTime": "2 seconds"}` or `{"availableNow": True}`. Spark keeps
+    the session's number of shuffle partitions in the checkpoint: set it for the
+    state you expect before the first start.
     """
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, min(int(before), spark.sparkContext.defaultParallelism))
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
-def _start(
-    stream: DataFrame, action: BatchAction, checkpoint: str, mode: str, available_now: bool
-) -> StreamingQuery:
-    writer = stream.writeStream.outputMode(mode).foreachBatch(action)
-    writer = writer.option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    with _state_partitions(stream.sparkSession):
-        return writer.start()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(action).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()
 
 
 def run_available(stream: DataFrame, action: BatchAction, checkpoint: str, mode: str = "append") -> None:
     """Process everything that is there and stop; errors of any batch are raised."""
-    _start(stream, action, checkpoint, mode, available_now=True).awaitTermination()
+    start(stream, action, checkpoint, mode, {"availableNow": True}).awaitTermination()
 
 
-def run_until_idle(stream: DataFrame, action: BatchAction, checkpoint: str, mode: str = "append") -> None:
-    """Run on the default trigger until the source has nothing new."""
-    query = _start(stream, action, checkpoint, mode, available_now=False)
+def run_until_idle(
+    stream: DataFrame, action: BatchAction, checkpoint: str, mode: str = "append", trigger: dict | None = None
+) -> None:
+    """Run until the source has nothing new."""
+    query = start(stream, action, checkpoint, mode, trigger)
     try:
         query.processAllAvailable()
     finally:
         query.stop()
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that a watermark has kept out of the state, in the batches that the query still remembers."""
+    operators = (one for progress in query.recentProgress for one in progress["stateOperators"])
+    return sum(one["numRowsDroppedByWatermark"] for one in operators)
+
+
 def to_batch_dirs(path: str, function: BatchFunction | None = None) -> BatchAction:
     """Action that applies a batch function and stores its rows under the batch's directory."""
 
@@ -110,17 +102,36 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = N
     return rows.withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _folder(spark: SparkSession, path: str):
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop_path = _folder(spark, path)
+    return files.exists(hadoop_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of stored rows that nothing reads any more."""
+    files, hadoop_path = _folder(spark, path)
+    files.delete(hadoop_path, True)
+
+
+def stored_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches whose folders are complete, in order; no rows are read."""
+    files, hadoop_path = _folder(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(hadoop_path)]
+    numbers = sorted(int(name.split("=")[1]) for name in names if name.startswith("batch_id="))
+    return [number for number in numbers if _exists(spark, f"{path}/batch_id={number}/_SUCCESS")]
 
 
 def latest_batch(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the last stored batch; older directories are not read."""
-    numbers = spark.read.parquet(path).select("batch_id").distinct()
-    last = numbers.agg(F.max("batch_id")).first()[0]
-    return spark.read.parquet(f"{path}/batch_id={last}")
+    """Rows of the last stored batch, which may be none; other folders are not opened."""
+    return spark.read.parquet(f"{path}/batch_id={stored_batches(spark, path)[-1]}")
 
 
 class Arrivals:
@@ -145,7 +156,7 @@ class Arrivals:
 
     def stream(self) -> DataFrame:
         """The directory as a stream."""
-        return self.spark.readStream.schema(self.schema).parquet(self.input)
+        return self.spark.readStream.schema(self.schema).option("recursiveFileLookup", "true").parquet(self.input)
 
     def run_slices(
         self,
@@ -156,12 +167,22 @@ class Arrivals:
         action: BatchAction,
         mode: str = "append",
     ) -> None:
-        """Deliver slices 0 .. slices-1 of `rows` in turn and run the query after each.
+        """Let slices 0 .. slices-1 of `rows` arrive in turn and run the query after each.
 
-        `rows` is computed once, into one directory per slice.
+        `rows` is computed and written once; a slice arrives when its folder is
+        renamed. Rows without a slice number come with the first one, and a
+        number outside the range fails.
         """
+        number = F.coalesce(F.col(slice_column).cast("int"), F.lit(0))
+        wrong = F.raise_error(F.concat(F.lit("no such slice: "), number.cast("string"))).cast("int")
+        checked = F.when((number >= 0) & (number < slices), number).otherwise(wrong)
         staged = f"{self.home}/staged"
-        rows.write.partitionBy(slice_column).parquet(staged)
+        columns = self.schema.fieldNames()
+        rows.withColumn("_slice", checked).select(*columns, "_slice").write.partitionBy("_slice").parquet(staged)
         for number in range(slices):
-            self.deliver(self.spark.read.parquet(staged).where(F.col(slice_column) == number))
+            files, source = _folder(self.spark, f"{staged}/_slice={number}")
+            _, target = _folder(self.spark, f"{self.input}/{number}")
+            files.mkdirs(target.getParent())
+            if files.exists(source):
+                files.rename(source, target)
             run_available(query(self.stream()), action, self.checkpoint, mode)

@@ -50,15 +50,16 @@ def running_total_stateful(stream: DataFrame, key: str, units: str, name: str =
 
 
 def daily_total(
-    stream: DataFrame, instant: str, keys: list[str], value: str, lateness: str = "1 hour"
+    stream: DataFrame, instant: str, keys: list[str], value: str, lateness: str | None = None
 ) -> DataFrame:
     """Totals that start from nothing each day, as `day_window`, keys, `amount` and `cnt`.
 
-    The watermark lets Spark drop the state of past days; rows later than
-    `lateness` are dropped by Spark once the watermark has passed their day.
+    Every row counts, however late, and days stay in the state. With a
+    `lateness` Spark forgets days that its watermark has passed, and rows for
+    them are dropped; `runner.late_rows` tells how many.
     """
     return (
-        stream.withWatermark(instant, lateness)
+        (stream.withWatermark(instant, lateness) if lateness else stream)
         .groupBy(F.window(instant, "1 day").alias("day_window"), *keys)
         .agg(F.sum(value).alias("amount"), F.count(F.lit(1)).alias("cnt"))
     )

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallywork.streaming.runner import BatchAction, BatchFunction
+from tallywork.operators.partitions import persisted
+from tallywork.streaming.runner import BatchAction, BatchFunction, remove, stored_batches
 
 
 def batch_windows(
@@ -15,18 +16,23 @@ def batch_windows(
 
     Each batch is reduced once and its counts are kept under `partials`; a
     window adds up the counts of its batches. Raw rows are never read again, and
-    only the window's own directories are read. The first windows hold the
-    batches there are.
+    only the window's own directories are read; older ones are removed. The
+    first windows hold the batches there are. The counts stay in memory while
+    they are stored and added up.
     """
 
     def action(batch: DataFrame, batch_id: int) -> None:
-        count(batch).write.mode("overwrite").parquet(f"{partials}/batch_id={batch_id}")
-        if (batch_id + 1) % slide:
-            return
+        spark = batch.sparkSession
         first = max(0, batch_id - length + 1)
-        paths = [f"{partials}/batch_id={number}" for number in range(first, batch_id + 1)]
-        window = batch.sparkSession.read.parquet(*paths)
-        merge(window).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        with persisted(count(batch)) as counts:
+            counts.write.mode("overwrite").parquet(f"{partials}/batch_id={batch_id}")
+            if (batch_id + 1) % slide == 0:
+                paths = [f"{partials}/batch_id={number}" for number in range(first, batch_id)]
+                window = counts.unionByName(spark.read.schema(counts.schema).parquet(*paths)) if paths else counts
+                merge(window).write.mode("overwrite").parquet(f"{output}/batch_id={batch_id}")
+        for number in stored_batches(spark, partials):
+            if number < first:
+                remove(spark, f"{partials}/batch_id={number}")
 
     return action
 
@@ -51,7 +57,11 @@ def merge_counts_sql(key: str) -> BatchFunction:
 
 
 def event_windows(
-    df: DataFrame, time: str, length: str, slide: str, keys: list[str], measure: Column
+    df: DataFrame, time: str, length: str, slide: str, keys: list[str], measure: Column, lateness: str | None = None
 ) -> DataFrame:
-    """Count or sum per sliding event-time window and key, as `window`, keys and `cnt`."""
-    return df.groupBy(F.window(time, length, slide), *keys).agg(measure.alias("cnt"))
+    """Count or sum per sliding event-time window and key, as `window`, keys and `cnt`.
+
+    Without a `lateness` every row counts and no window leaves the state; with
+    one, `runner.late_rows` tells how many rows came after their window had gone.
+    """
+    return (df.withWatermark(time, lateness) if lateness else df).groupBy(F.window(time, length, slide), *keys).agg(measure.alias("cnt"))

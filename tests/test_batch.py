@@ -11,22 +11,21 @@ from tallywork.operators import (
     aggregates, cells, grouping, orders, partitions, ratings, records, topk, traffic, upsert, words,
 )
 
-WORD_LINES = [
-    "hadoop spark hadoop spark spark ",
-    "mapreduce spark spark hive",
-    "hive spark hadoop mapreduce spark",
-    "spark hive sql sql spark hive hive spark",
-    "hdfs hdfs mapreduce mapreduce spark hive",
-]
-WORD_COUNTS = {"spark": 11, "hive": 6, "mapreduce": 4, "hadoop": 3, "hdfs": 2, "sql": 2}
+def word_lines():
+    dice = random.Random(21)
+    return [" ".join(f"w{min(dice.randrange(9), dice.randrange(9))}" for _ in range(12)) for _ in range(30)]
 
 
-def test_word_count_golden(lines):
-    counts = words.word_count(words.tokens(lines(*WORD_LINES)))
-    assert dict(rows(counts)) == WORD_COUNTS
-    assert [tuple(row) for row in words.top_words(counts).collect()] == [("spark", 11), ("hive", 6), ("mapreduce", 4)]
-    swapped = words.top_words_swapped(counts, 6).collect()
-    assert [tuple(row) for row in swapped][-2:] == [(2, "hdfs"), (2, "sql")]
+def test_word_count(lines):
+    made = word_lines()
+    wanted = Counter(word for line in made for word in line.split())
+    counts = words.word_count(words.tokens(lines(*made, "w0 ")))
+    wanted["w0"] += 1
+    assert dict(rows(counts)) == wanted
+    ranked = sorted(wanted.items(), key=lambda item: (-item[1], item[0]))
+    assert [tuple(row) for row in words.top_words(counts).collect()] == ranked[:3]
+    swapped = [tuple(row) for row in words.top_words_swapped(counts, 6).collect()]
+    assert sorted(swapped, reverse=True) == sorted(((n, word) for word, n in ranked[:6]), reverse=True)
 
 
 def test_tokens_of_dirty_lines(lines):
@@ -92,15 +91,14 @@ def test_ip_records(lines):
     assert rows(records.parse_ip_logs(lines("t|1.2.3.4|rest", "t", "t|", None))) == [("1.2.3.4",)]
 
 
-GROUPS = {"aa": [78, 80, 69, 97], "bb": [98, 97, 78, 34, 92, 32, 23], "cc": [98, 87, 86, 85, 72]}
-TOP3 = [("aa", [97, 80, 78]), ("bb", [98, 97, 92]), ("cc", [98, 87, 86])]
-
-
 def test_top_per_key(lines):
-    frame = records.parse_key_numbers(lines(*[f"{k} {n}" for k, ns in GROUPS.items() for n in ns], "zz", ""))
-    assert rows(topk.group_topk_list(frame, ["key"], "number")) == TOP3
+    dice = random.Random(8)
+    groups = {key: dice.sample(range(100), size) for key, size in (("k1", 4), ("k2", 7), ("k3", 2))}
+    wanted = {key: sorted(numbers, reverse=True)[:3] for key, numbers in groups.items()}
+    frame = records.parse_key_numbers(lines(*[f"{k} {n}" for k, ns in groups.items() for n in ns], "zz", ""))
+    assert dict(rows(topk.group_topk_list(frame, ["key"], "number"))) == wanted
     ranked = rows(topk.group_topk_rank(frame, ["key"], "number"))
-    assert ranked == sorted((key, number, rank) for key, top in TOP3 for rank, number in enumerate(top, 1))
+    assert ranked == sorted((key, number, rank) for key, top in wanted.items() for rank, number in enumerate(top, 1))
     with pytest.raises(Exception):
         records.parse_key_numbers(lines("aa 1 2")).collect()
 
@@ -129,45 +127,95 @@ def test_whole_set(spark):
     assert aggregates.first_rows(frame, 4).count() == 4
 
 
-MEMBERS = [
-    *[("sz", "d", "d1", 25)] * 2, ("sz", "d", "d3", 70), ("sz", "d", "d12", 300), *[("sz", "p", "p3", 60)] * 2,
-    ("sz", "p", "p6", 120), *[("sz", "g", "g1", 15)] * 2, ("sz", "g", "g3", 45), ("sz", "g", "g12", 180),
-    *[("bj", "d", "d1", 25)] * 2, ("bj", "p", "p3", 60), ("bj", "g", "g3", 45),
-    *[("sh", "d", "d1", 25)] * 2, ("sh", "p", "p3", 60), ("sh", "g", "g3", 45),
-]
 KEYS = ["area", "kind", "product"]
+MEMBER_SCHEMA = "area string, kind string, product string, price int"
+
+
+def members():
+    """Seeded rows of three keys and a price, some without one."""
+    dice = random.Random(17)
+    fixed = [(f"a{a}", f"k{k}", f"p{p}", 5) for a in range(3) for k in range(3) for p in range(4)]
+    return fixed + [
+        (f"a{dice.randrange(3)}", f"k{dice.randrange(3)}", f"p{dice.randrange(4)}",
+         dice.choice([None, *range(1, 50)]))
+        for _ in range(60)
+    ]
 
 
-def test_grouping_levels(spark):
-    frame = spark.createDataFrame(MEMBERS, "area string, kind string, product string, price int")
-    count = {"cnt": grouping.count_rows()}
-    total = {"total_price": F.sum("price")}
-    sets = grouping.grouping_sets(frame, KEYS, [KEYS[:1], KEYS[:2], KEYS], count)
-    rolled = grouping.rollup(frame, KEYS, count | total)
-    union = grouping.subtotals_union(frame, KEYS, count)
-    cubed = grouping.cube(frame, KEYS, total)
-    assert (union.count(), sets.count(), rolled.count(), cubed.count()) == (27, 26, 27, 60)
-    assert [tuple(r)[3:5] for r in rolled.where("level_id = 7").collect()] == [(19, 1225)]
-    areas = {row.area: (row.cnt, row.total_price) for row in rolled.where("level_id = 3").collect()}
-    assert areas == {"sz": (11, 915), "bj": (4, 155), "sh": (4, 155)}
-    plain = frame.cube(*KEYS).agg(F.sum("price").alias("total_price"), F.grouping_id().cast("bigint").alias("level_id"))
-    assert rows(cubed) == rows(plain)
-    blanks = rolled.drop("total_price", "level_id").fillna("")
-    assert rows(blanks) == rows(union)
+def levels_of(made, depth, measure):
+    """The measure per prefix of the keys, in plain Python."""
+    groups = {}
+    for row in made:
+        groups.setdefault(row[:depth], []).append(row[3])
+    return {key: measure(prices) for key, prices in groups.items()}
+
+
+MEASURES = {
+    "cnt": (grouping.count_rows, lambda: F.count(F.lit(1)), len),
+    "priced": (lambda: grouping.count_of("price"), lambda: F.count("price"), lambda prices: sum(p is not None for p in prices)),
+    "total": (lambda: grouping.total("price"), lambda: F.sum("price"), lambda prices: sum(p or 0 for p in prices)),
+    "low": (lambda: grouping.lowest("price"), lambda: F.min("price"), lambda prices: min(p for p in prices if p is not None)),
+    "high": (lambda: grouping.highest("price"), lambda: F.max("price"), lambda prices: max(p for p in prices if p is not None)),
+    "mean": (lambda: grouping.average("price"), lambda: F.avg("price"),
+             lambda prices: sum(p or 0 for p in prices) / max(1, sum(p is not None for p in prices))),
+}
+
+
+@pytest.mark.parametrize("with_distinct", [False, True])
+def test_grouping_levels_equal_native_ones(spark, with_distinct):
+    frame = spark.createDataFrame(members(), MEMBER_SCHEMA)
+    mine = {name: measure() for name, (measure, _, _) in MEASURES.items()}
+    plain = [column().alias(name) for name, (_, column, _) in MEASURES.items()]
+    if with_distinct:
+        unlike = F.count_distinct("price")
+        mine, plain = mine | {"unlike": unlike}, [*plain, unlike.alias("unlike")]
+    level = F.grouping_id().cast("bigint").alias("level_id")
+    sets = [KEYS[:1], KEYS[:2], KEYS]
+    assert rows(grouping.rollup(frame, KEYS, mine)) == rows(frame.rollup(*KEYS).agg(*plain, level))
+    assert rows(grouping.cube(frame, KEYS, mine)) == rows(frame.cube(*KEYS).agg(*plain, level))
+    native = frame.groupingSets([[F.col(name) for name in one] for one in sets], *KEYS).agg(*plain, level)
+    assert rows(grouping.grouping_sets(frame, KEYS, sets, mine)) == rows(native)
+
+
+@pytest.mark.parametrize("name", MEASURES)
+def test_grouping_levels_by_hand(spark, name):
+    made = members()
+    frame = spark.createDataFrame(made, MEMBER_SCHEMA)
+    measure, _, by_hand = MEASURES[name]
+    rolled = grouping.rollup(frame, KEYS, {name: measure()}).collect()
+    for depth in range(4):
+        got = {tuple(row)[:depth]: row[name] for row in rolled if row.level_id == (1 << (3 - depth)) - 1}
+        assert got == pytest.approx(levels_of(made, depth, by_hand))
+    union = {tuple(row)[:3]: row[name] for row in grouping.subtotals_union(frame, KEYS, {name: measure()}).collect()}
+    wanted = {(*key, *[""] * (3 - len(key))): value for depth in range(4) for key, value in levels_of(made, depth, by_hand).items()}
+    assert union == pytest.approx(wanted)
+
+
+def test_grouping_of_nothing(spark):
+    frame = spark.createDataFrame([], MEMBER_SCHEMA)
+    mine = {"cnt": grouping.count_rows(), "total": grouping.total("price")}
+    assert rows(grouping.subtotals_union(frame, KEYS, mine)) == [("", "", "", 0, None)]
+    assert rows(grouping.subtotals_union(frame, KEYS, {"unlike": F.count_distinct("price")})) == [("", "", "", 0)]
+    assert grouping.rollup(frame, KEYS, mine).count() == frame.rollup(*KEYS).count().count()
+
+
+def test_ordered_levels_and_group_sum(spark):
+    frame = spark.createDataFrame(members(), MEMBER_SCHEMA)
+    rolled = grouping.rollup(frame, KEYS, {"total_price": grouping.total("price")})
     sums = aggregates.group_sum(frame, KEYS, F.col("price"), "total_price")
-    assert rows(sums) == rows(rolled.where("level_id = 0").drop("cnt", "level_id"))
+    assert rows(sums) == rows(rolled.where("level_id = 0").drop("level_id"))
     ordered = grouping.in_key_order(rolled, KEYS).collect()
-    assert ordered[0].area is None and ordered[1].area == "bj" and ordered[1].kind is None
+    assert ordered[0].area is None and ordered[1].area == "a0" and ordered[1].kind is None
 
 
 def test_grouping_keeps_real_nulls_apart(spark):
     frame = spark.createDataFrame([(None, "x", 1), ("a", "x", 2)], "a string, b string, price int")
-    got = grouping.rollup(frame, ["a", "b"], {"total": F.sum("price")})
+    got = grouping.rollup(frame, ["a", "b"], {"total": grouping.total("price")})
     assert rows(got.where("a is null").select("level_id", "total")) == [(0, 1), (1, 1), (3, 3)]
 
 
 def test_subtotals_read_the_input_once(spark):
-    frame = spark.createDataFrame(MEMBERS, "area string, kind string, product string, price int")
+    frame = spark.createDataFrame(members(), MEMBER_SCHEMA)
     union = grouping.subtotals_union(frame.repartition(3), KEYS, {"cnt": grouping.count_rows()})
     union.collect()
     assert final_plan(union).split("Initial Plan")[0].count("ReusedExchange") >= 3
@@ -241,22 +289,26 @@ def test_upsert(spark):
     assert rows(upsert.upsert(once, updates, ["k"], "n")) == wanted
 
 
+def test_upsert_of_a_null_key(spark):
+    base = spark.createDataFrame([(None, "old", 0), (1, "old", 0)], "k int, v string, n int")
+    updates = spark.createDataFrame([(None, "new", 1), (None, "newer", 2)], "k int, v string, n int")
+    assert rows(upsert.upsert(base, updates, ["k"], "n")) == [(1, "old", 0), (None, "newer", 2)]
+
+
+def test_upsert_and_cell_lines_read_once(spark, tmp_path):
+    spark.range(20).selectExpr("id AS k", "'a' AS v", "id AS n").write.parquet(str(tmp_path / "base"))
+    spark.range(9).selectExpr("id AS k", "'b' AS v", "id AS n").write.parquet(str(tmp_path / "updates"))
+    base, updates = (spark.read.parquet(str(tmp_path / name)) for name in ("base", "updates"))
+    assert final_plan(upsert.upsert(base, updates, ["k"], "n")).count("FileScan") == 2
+    table = base.selectExpr("string(k) AS row_key", "'f' AS family", "'q' AS qualifier", "v AS value", "n AS version")
+    assert final_plan(cells.cell_lines(table)).count("FileScan") == 1
+
+
 def test_partitions(spark):
     frame = spark.range(0, 100, 1, 4)
     assert rows(partitions.partition_counts(frame)) == [(i, 25) for i in range(4)]
-    values = spark.createDataFrame([(v,) for v in (5, 10, 47, 48, 161, 162, 500, None)], "amt int")
-    target = partitions.bounds_partition(F.col("amt"), 10, 200, 5).alias("p")
-    assert column(values.select(target), "p") == [0, 0, 0, 1, 3, 4, 4, 0]
-    hits = partitions.predicate_partitions(values, ["amt < 48", "amt between 40 and 200"])
-    assert rows(hits) == sorted([(5, 0), (10, 0), (47, 0), (47, 1), (48, 1), (161, 1), (162, 1)], key=repr)
     doubled = partitions.map_partitions(frame, lambda batch: batch.assign(id=batch["id"] * 2), "id bigint")
     assert doubled.agg(F.sum("id")).first()[0] == 9900
     with partitions.persisted(frame.selectExpr("id % 7 AS k")) as kept:
         assert kept.is_cached and kept.distinct().count() == 7
     assert not kept.is_cached
-
-
-def test_spread_leaves_large_inputs_alone(spark):
-    wide = spark.range(0, 10, 1, 16)
-    assert partitions.spread_small(wide) is wide
-    assert partitions.spread_small(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 4

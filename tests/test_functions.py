@@ -65,6 +65,17 @@ def test_json_fields(lines):
     assert all(value is None for row in got[1:] for value in row)
 
 
+def test_json_fields_are_literal_names(lines):
+    frame = lines('{"a": {"b": 1}, "x": 2, "a.b": 3}')
+    assert rows(fields.json_fields(frame, "value", ["a.b"])) == [("3",)]
+    assert rows(fields.json_fields(frame, "value", ["a.b", "x"])) == [("3", "2")]
+
+
+def test_record_without_value(spark):
+    frame = spark.createDataFrame([("t", 0, 1, None)], "topic string, partition int, offset bigint, value binary")
+    assert column(fields.record_view(frame), "line") == ["t-0:1 = null"]
+
+
 def test_records(spark):
     frame = spark.createDataFrame([(None, b"caf\xc3\xa9", "t", 2, 40)], "key binary, value binary, topic string, partition int, offset bigint")
     assert rows(fields.decode_records(frame)) == [(None, "café", "t", 2, 40)]

@@ -45,24 +45,22 @@ def test_all_forms_equal_brute_force(world):
     probe, lookup, wanted = world
     forms = [
         ranges.range_lookup(probe, lookup),
-        ranges.range_lookup(probe, lookup, max_pieces=10, spread_by=["id"]),
-        ranges.range_lookup_bucketed(probe, lookup),
-        ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"]),
-        ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"], rows_per_split=2),
+        ranges.range_lookup(probe, lookup, spread_by=["id"]),
+        ranges.range_lookup(probe, lookup, spread_by=["id"], rows_per_split=2),
+        ranges.range_lookup(probe, lookup, rows_per_split=1),
     ]
     for form in forms:
         assert rows(form.select(*COLUMNS)) == wanted
 
 
-def test_hot_address_is_split(spark, world, monkeypatch):
+def test_hot_address_is_split(spark, world):
     _, lookup, _ = world
-    monkeypatch.setattr(ranges, "MAX_SPLIT_ADDRESSES", 5)
     hot = [(i, "20.0.0.1" if i % 3 else f"20.0.0.{i % 12}") for i in range(900)]
     probe = spark.createDataFrame(hot, "id int, ip string")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        split = ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"], rows_per_split=50)
+        split = ranges.range_lookup(probe, lookup, rows_per_split=50)
         got = split.groupBy("ip").count().collect()
         plan = final_plan(split)
     finally:
@@ -74,14 +72,11 @@ def test_hot_address_is_split(spark, world, monkeypatch):
 
 def test_pieces_are_few_and_blocks_sparse(world):
     _, lookup, _ = world
-    size = ranges.lookup_size(lookup)
     pieces = ranges._pieces(lookup)
-    assert pieces.count() == size.pieces
     # 18 per range and block it touches, at most.
     touched = lookup.selectExpr("sum((end_ip >> 16) - (start_ip >> 16) + 1)").first()[0]
-    assert size.pieces <= 18 * touched
+    assert pieces.count() <= 18 * touched
     assert pieces.groupBy("_key").count().agg({"count": "max"}).first()[0] <= 2
-    assert set(size.levels) <= set(ranges.LEVELS)
 
 
 def test_dense_block(spark):
@@ -90,28 +85,42 @@ def test_dense_block(spark):
     lookup = spark.createDataFrame(table, "start_ip bigint, end_ip bigint, longitude string, latitude string")
     probe = spark.createDataFrame([(i, f"7.0.{i // 256}.{i % 256}") for i in range(6_100)], "id int, ip string")
     wanted = sorted((i, f"lon{i // 2}") for i in range(6_000) if i % 2 == 0 or (i // 2) % 2)
-    for form in (ranges.range_lookup(probe, lookup), ranges.range_lookup_bucketed(probe, lookup, spread_by=["id"])):
+    for form in (ranges.range_lookup(probe, lookup), ranges.range_lookup(probe, lookup, rows_per_split=1)):
         assert sorted((row.id, row.longitude) for row in form.collect()) == wanted
     assert ranges._pieces(lookup).groupBy("_key").count().agg({"count": "max"}).first()[0] <= 2
 
 
 def test_no_nested_loop(world):
     probe, lookup, _ = world
-    for form in (ranges.range_lookup(probe, lookup), ranges.range_lookup_bucketed(probe, lookup)):
+    for form in (ranges.range_lookup(probe, lookup), ranges.geo_heat(probe, lookup)):
         plan = final_plan(form)
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_broadcast_only_below_the_limit(world, spark):
+def test_spark_decides_what_is_broadcast(world, spark, tmp_path):
+    """No hint but that of the split addresses, and the probe is read for the counts and for the join."""
     probe, lookup, _ = world
-    pieces = ranges.lookup_size(lookup).pieces
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    probe.write.parquet(str(tmp_path / "probe"))
+    found = ranges.range_lookup(spark.read.parquet(str(tmp_path / "probe")), lookup)
+    logical = found._jdf.queryExecution().logical().toString()
+    assert logical.count("strategy=broadcast") == 1
+    found.collect()
+    plan = final_plan(found).split("Initial Plan")[0]
+    assert plan.count("FileScan") <= 3 and plan.count("ReusedExchange") >= 1
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_addresses(spark, world, ansi):
+    _, lookup, _ = world
+    probe = spark.createDataFrame([(1, "20.0.0.1"), (2, "20.0.x.1"), (3, "20.0.0.1.")], "id int, ip string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
     try:
-        assert "BroadcastHashJoin" in final_plan(ranges.range_lookup(probe, lookup, max_pieces=pieces))
-        assert "BroadcastHashJoin" not in final_plan(ranges.range_lookup(probe, lookup, max_pieces=pieces - 1))
+        with pytest.raises(Exception, match="not a valid"):
+            ranges.range_lookup(probe, lookup).collect()
+        assert rows(ranges.range_lookup(probe, lookup, strict=False).select("id", "longitude")) == [(1, "next"), (3, "next")]
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.ansi.enabled", before)
 
 
 def test_heat(world):
@@ -121,7 +130,6 @@ def test_heat(world):
         counts[lon, lat] = counts.get((lon, lat), 0) + 1
     expected = sorted(((lon, lat, n) for (lon, lat), n in counts.items()), key=repr)
     assert rows(ranges.geo_heat(probe, lookup)) == expected
-    assert rows(ranges.geo_heat(probe, lookup, max_pieces=10)) == expected
 
 
 def test_overlaps_fail(spark, world):
@@ -132,6 +140,6 @@ def test_overlaps_fail(spark, world):
         "start_ip bigint, end_ip bigint, longitude string, latitude string",
     )
     assert ranges.overlapping_ranges(table).count() == 1
-    for form in (ranges.range_lookup(probe, table), ranges.range_lookup_bucketed(probe, table)):
+    for form in (ranges.range_lookup(probe, table), ranges.geo_heat(probe, table)):
         with pytest.raises(Exception, match="overlapping range"):
             form.collect()

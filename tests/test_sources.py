@@ -55,6 +55,14 @@ def test_key_value_lines(spark, tmp_path):
     assert rows(got) == [(238, "val_238"), (311, "val_311"), (86, "val_86")]
 
 
+def test_key_value_lines_with_any_separator(lines):
+    assert rows(files.key_value_lines(lines("1|a|b", "2|"), "|")) == [(1, "a|b"), (2, "")]
+
+
+def test_local_rows(spark):
+    assert rows(files.local_rows(spark, [("a", 1), ("b", None)], "k string, n int")) == [("a", 1), ("b", None)]
+
+
 def test_parquet_both_ways(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(5).write.parquet(path)
@@ -83,7 +91,8 @@ def test_catalog_table(spark, tmp_path):
         assert rows(catalog.read_table(spark, "numbers_of_test")) == [(0,), (1,), (2,)]
         assert rows(catalog.query_table(spark, "SELECT id FROM numbers_of_test WHERE id > 1")) == [(2,)]
     finally:
-        spark.sql("DROP TABLE numbers_of_test")
+        catalog.drop_table(spark, "numbers_of_test")
+    assert not spark.catalog.tableExists("numbers_of_test") and (tmp_path / "numbers").exists()
 
 
 class Recorder:
@@ -108,15 +117,25 @@ def test_jdbc_calls():
     assert reader.calls[2][1] == {"predicates": ["amt < 5"], "properties": properties}
 
 
-def test_merge_statement():
-    text = jdbc.merge_statement("heat", "heat_new", ["longitude", "latitude"], ["longitude", "latitude", "total_count"])
+def test_upsert_statements():
+    text = jdbc.upsert_statement("heat", "heat_new", ["longitude", "latitude"], ["longitude", "latitude", "total_count"])
     assert text == (
         "MERGE INTO heat t USING heat_new s ON t.longitude = s.longitude AND t.latitude = s.latitude"
         " WHEN MATCHED THEN UPDATE SET total_count = s.total_count"
         " WHEN NOT MATCHED THEN INSERT (longitude, latitude, total_count)"
         " VALUES (s.longitude, s.latitude, s.total_count)"
     )
-    assert "MATCHED THEN UPDATE" not in jdbc.merge_statement("a", "b", ["k"], ["k"])
+    names = ["k", "v"]
+    assert jdbc.upsert_statement("t", "s", ["k"], names, "mysql") == (
+        "INSERT INTO t (k, v) SELECT k, v FROM s ON DUPLICATE KEY UPDATE v = VALUES(v)"
+    )
+    assert jdbc.upsert_statement("t", "s", ["k"], names, "postgresql") == (
+        "INSERT INTO t (k, v) SELECT k, v FROM s ON CONFLICT (k) DO UPDATE SET v = EXCLUDED.v"
+    )
+    assert jdbc.upsert_statement("t", "s", ["k"], ["k"], "postgresql").endswith("DO NOTHING")
+    with pytest.raises(ValueError, match="dialect"):
+        jdbc.upsert_statement("t", "s", ["k"], names, "other")
+    assert "MATCHED THEN UPDATE" not in jdbc.upsert_statement("a", "b", ["k"], ["k"])
 
 
 def test_topic_options():

@@ -12,11 +12,10 @@ from rows import column, rows
 from tallywork.operators import orders, records, words
 from tallywork.session import SETTINGS
 from tallywork.sources.log_topics import RECORD_SCHEMA
-from tallywork.sources.replay import stream_replay
 from tallywork.sources.streams import stream_lines, stream_parquet
 from tallywork.streaming import outputs, totals, windows
 from tallywork.streaming.runner import (
-    Arrivals, latest_batch, read_batches, run_available, run_until_idle, to_batch_dirs, workspace,
+    Arrivals, late_rows, latest_batch, read_batches, run_available, start, stored_batches, to_batch_dirs, workspace,
 )
 
 LINE_SCHEMA = "value string"
@@ -126,13 +125,20 @@ def test_word_count_per_batch(spark, lines, arrivals):
     ]
 
 
-def test_batch_time_header(spark, lines, arrivals):
+def test_batch_time_comes_from_the_rows(spark):
+    source = Arrivals(spark, "times", spark.createDataFrame([], "value string, at timestamp").schema)
+
     def count(batch):
         return words.word_count(words.tokens(batch))
 
-    feed(arrivals, lines, lambda s: s, to_batch_dirs(arrivals.output, outputs.stamped(count)), batches=[["a b"], ["a"]])
-    stamps = column(read_batches(spark, arrivals.output), "batch_time")
-    assert len(stamps) == 3 and all(datetime.datetime.strptime(stamp, "%Y/%m/%d %H:%M:%S") for stamp in stamps)
+    store = to_batch_dirs(source.output, outputs.stamped(count, "at"))
+    for hour in (1, 2):
+        made = [("a b", moment(f"2024-01-01 0{hour}:00")), ("a", moment(f"2024-01-01 0{hour}:30"))]
+        source.deliver(spark.createDataFrame(made, source.schema))
+        run_available(source.stream(), store, source.checkpoint)
+    wanted = [("a", 2, "2024/01/01 01:30:00", 0), ("a", 2, "2024/01/01 02:30:00", 1),
+              ("b", 1, "2024/01/01 01:30:00", 0), ("b", 1, "2024/01/01 02:30:00", 1)]
+    assert rows(read_batches(spark, source.output).select("word", "cnt", "batch_time", "batch_id")) == wanted
 
 
 def test_jdbc_batches_are_merged(monkeypatch, lines, arrivals):
@@ -148,19 +154,50 @@ def test_jdbc_batches_are_merged(monkeypatch, lines, arrivals):
     ]
 
 
-def test_session_keeps_its_partition_setting(spark, lines, arrivals):
+def test_state_has_the_partitions_of_the_session(spark, lines, arrivals):
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
     try:
         arrivals.deliver(lines(*BATCHES[0]))
         run_available(total(arrivals.stream()), to_batch_dirs(arrivals.output), arrivals.checkpoint, "update")
-        assert spark.conf.get("spark.sql.shuffle.partitions") == "50"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "11"
         stores = [entry for entry in Path(f"{arrivals.checkpoint}/state/0").iterdir() if entry.name.isdigit()]
-        assert len(stores) == spark.sparkContext.defaultParallelism
+        assert len(stores) == 11
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_a_query_that_goes_on(spark, lines, arrivals):
+    arrivals.deliver(lines(*BATCHES[0]))
+    query = start(
+        total(arrivals.stream()), to_batch_dirs(arrivals.output), arrivals.checkpoint, "update",
+        {"processingTime": "100 milliseconds"},
+    )
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        arrivals.deliver(lines(*BATCHES[1]))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert per_batch(spark, arrivals.output, "amount") == {key: value for key, value in UPDATES.items() if key[0] < 2}
+
+
+def test_latest_batch_may_be_empty(spark, lines, arrivals):
+    feed(arrivals, lines, lambda s: s.where("value <> 'x'"), to_batch_dirs(arrivals.output), batches=[["a"], ["x"]])
+    assert stored_batches(spark, arrivals.output) == [0, 1]
+    assert latest_batch(spark, arrivals.output).count() == 0
+
+
+def test_null_slices_arrive_and_wrong_ones_fail(spark, lines, arrivals):
+    made = spark.createDataFrame([("a", 0), ("b", None), ("c", 1)], "value string, slice int")
+    arrivals.run_slices(made, "slice", 3, lambda stream: stream, to_batch_dirs(arrivals.output))
+    assert rows(read_batches(spark, arrivals.output)) == [("a", 0), ("b", 0), ("c", 1)]
+    other = Arrivals(spark, "wrong", arrivals.schema)
+    with pytest.raises(Exception, match="no such slice"):
+        other.run_slices(made, "slice", 1, lambda stream: stream, to_batch_dirs(other.output))
+
+
 def test_file_lines_and_union(spark, tmp_path):
     left, right = tmp_path / "left", tmp_path / "right"
     for folder, text in ((left, "x y\nx\n"), (right, "y z\n")):
@@ -169,7 +206,7 @@ def test_file_lines_and_union(spark, tmp_path):
     both = stream_lines(spark, str(left)).union(stream_lines(spark, str(right), max_files=1))
     home = workspace(spark, "union")
     counts = words.word_count(words.tokens(both))
-    run_available(counts, outputs.keyed_table_action(f"{home}/out"), f"{home}/checkpoint", "update")
+    run_available(counts, outputs.keyed_table_action(f"{home}/out", ["word"]), f"{home}/checkpoint", "update")
     assert dict(rows(outputs.keyed_table(spark, f"{home}/out", ["word"]))) == {"x": 2, "y": 2, "z": 1}
 
 
@@ -178,27 +215,29 @@ def test_capped_files_give_several_batches(spark, tmp_path):
         (tmp_path / f"{number}.txt").write_text("w\n")
     home = workspace(spark, "capped")
     counts = words.word_count(words.tokens(stream_lines(spark, str(tmp_path), max_files=1)))
-    run_available(counts, outputs.keyed_table_action(f"{home}/out"), f"{home}/checkpoint", "update")
-    assert sorted(column(read_batches(spark, f"{home}/out"), "cnt")) == [1, 2, 3]
+    run_available(counts, outputs.keyed_table_action(f"{home}/out", ["word"]), f"{home}/checkpoint", "update")
+    assert sorted(column(read_batches(spark, f"{home}/out/changes"), "cnt")) == [1, 2, 3]
     assert rows(outputs.keyed_table(spark, f"{home}/out", ["word"])) == [("w", 3)]
 
 
-def test_rewritten_table_goes_on(spark, lines, arrivals):
-    def count(stream):
-        return words.word_count(words.tokens(stream))
-
-    feed(arrivals, lines, count, outputs.keyed_table_action(arrivals.output), "update", [["a b"], ["a"]])
-    smaller = f"{arrivals.home}/smaller"
-    outputs.rewrite_keyed_table(spark, arrivals.output, ["word"], smaller)
-    assert (read_batches(spark, arrivals.output).count(), read_batches(spark, smaller).count()) == (3, 2)
-    feed(arrivals, lines, count, outputs.keyed_table_action(smaller), "update", [["a c"]])
-    assert dict(rows(outputs.keyed_table(spark, smaller, ["word"]))) == {"a": 3, "b": 1, "c": 1}
+def test_keyed_table_is_compacted_and_may_be_repeated(spark, lines, arrivals):
+    path, wanted = arrivals.output, {}
+    action = outputs.keyed_table_action(path, ["k"], every=3)
+    for number in range(11):
+        changes = [(f"k{number % 4}", number), (f"k{number}", number)]
+        wanted |= dict(changes)
+        frame = spark.createDataFrame(sorted(set(changes)), "k string, v int")
+        for _ in range(2):  # as after a failure
+            action(frame, number)
+        assert dict(rows(outputs.keyed_table(spark, path, ["k"]))) == wanted
+    assert stored_batches(spark, f"{path}/base") == [5, 8]
+    assert stored_batches(spark, f"{path}/changes") == [6, 7, 8, 9, 10]
 
 
 def test_stream_of_one_file_or_directory(spark, tmp_path):
     spark.range(4).coalesce(1).write.parquet(str(tmp_path / "t.parquet"))
     pq.write_table(pa.table({"id": [7, 8]}), tmp_path / "single.parquet")
-    for name, wanted in (("t.parquet", 4), ("single.parquet", 2)):
+    for name, wanted in (("t.parquet", 4), ("t.parquet/", 4), ("single.parquet", 2)):
         home = workspace(spark, "glob")
         stream = stream_parquet(spark, str(tmp_path / name), spark.range(1).schema)
         run_available(stream, to_batch_dirs(f"{home}/out"), f"{home}/checkpoint")
@@ -247,17 +286,18 @@ def test_event_windows_same_in_batch_and_stream(spark):
         sums = windows.event_windows(stream, "ts", "4 hours", "2 hours", ["k"], F.count(F.lit(1)))
         return sums.select(F.col("window.start").alias("start"), "k", "cnt")
 
-    run_available(query(source.stream()), outputs.keyed_table_action(source.output), source.checkpoint, "update")
+    run_available(query(source.stream()), outputs.keyed_table_action(source.output, ["start", "k"]), source.checkpoint, "update")
     table = outputs.keyed_table(spark, source.output, ["start", "k"])
     assert rows(table.select(F.hour("start").alias("h"), "k", "cnt")) == batch
 
 
-def test_daily_totals_start_anew_and_drop_late_rows(spark):
+@pytest.mark.parametrize(("lateness", "first_day", "dropped"), [(None, (1, 103, 3), 0), ("1 hour", (1, 3, 2), 1)])
+def test_daily_totals_start_anew(spark, lateness, first_day, dropped):
     schema = spark.createDataFrame([], "instant timestamp, k string, v bigint").schema
     source = Arrivals(spark, "daily", schema)
 
     def query(stream):
-        sums = totals.daily_total(stream, "instant", ["k"], "v")
+        sums = totals.daily_total(stream, "instant", ["k"], "v", lateness)
         return sums.select(F.col("day_window.start").alias("day"), "k", "amount", "cnt")
 
     batches = [
@@ -265,12 +305,17 @@ def test_daily_totals_start_anew_and_drop_late_rows(spark):
         [("2024-01-02 05:00", 5), ("2024-01-02 06:00", 6)],
         [("2024-01-01 09:00", 100), ("2024-01-02 07:00", 7)],
     ]
+    late = 0
     for batch in batches:
         made = spark.createDataFrame([(moment(at), "k", value) for at, value in batch], schema)
         source.deliver(made)
-        run_available(query(source.stream()), outputs.keyed_table_action(source.output), source.checkpoint, "update")
+        action = outputs.keyed_table_action(source.output, ["day", "k"])
+        running = start(query(source.stream()), action, source.checkpoint, "update", {"availableNow": True})
+        running.awaitTermination()
+        late += late_rows(running)
     table = outputs.keyed_table(spark, source.output, ["day", "k"])
-    assert rows(table.select(F.dayofmonth("day").alias("d"), "amount", "cnt")) == [(1, 3, 2), (2, 18, 3)]
+    assert rows(table.select(F.dayofmonth("day").alias("d"), "amount", "cnt")) == [first_day, (2, 18, 3)]
+    assert late == dropped
 
 
 def test_offsets_follow_the_output(spark):
@@ -302,43 +347,6 @@ def test_offsets_follow_the_output(spark):
     ]
 
 
-def replayed(spark, path, home, step, action=None):
-    stream = stream_replay(spark, path, spark.createDataFrame([], "n bigint").schema, f"{home}/checkpoint", step)
-    run_until_idle(stream, action or to_batch_dirs(f"{home}/out"), f"{home}/checkpoint")
-    return {
-        row.batch_id: row.n for row in read_batches(spark, f"{home}/out").groupBy("batch_id").agg(
-            F.sort_array(F.collect_list("n")).alias("n")).collect() if row.n
-    }
-
-
-def test_replay_steps_and_resume(spark, tmp_path):
-    path = tmp_path / "table"
-    path.mkdir()
-    pq.write_table(pa.table({"n": list(range(10)), "other": ["x"] * 10}), path / "a.parquet", row_group_size=4)
-    pq.write_table(pa.table({"n": list(range(10, 16)), "other": ["x"] * 6}), path / "b.parquet", row_group_size=3)
-    home = workspace(spark, "replay")
-    first = replayed(spark, str(path), home, 2)
-    assert first == {0: list(range(8)), 1: [8, 9, 10, 11, 12], 2: [13, 14, 15]}
-    pq.write_table(pa.table({"n": [16, 17], "other": ["x"] * 2}), path / "c.parquet")
-    assert replayed(spark, str(path), home, 2) == first | {3: [16, 17]}
-
-
-def test_replay_repeats_a_failed_step(spark, tmp_path):
-    path = tmp_path / "t.parquet"
-    pq.write_table(pa.table({"n": list(range(6))}), path, row_group_size=2)
-    home = workspace(spark, "replay-fail")
-    store = to_batch_dirs(f"{home}/out")
-
-    def fails_once(batch, batch_id):
-        if batch_id == 1:
-            raise RuntimeError("lost")
-        store(batch, batch_id)
-
-    with pytest.raises(Exception, match="lost"):
-        replayed(spark, str(path), home, 1, fails_once)
-    assert replayed(spark, str(path), home, 1) == {0: [0, 1], 1: [2, 3], 2: [4, 5]}
-
-
 def test_workspace_needs_a_shared_folder_on_a_cluster():
     from types import SimpleNamespace
 
