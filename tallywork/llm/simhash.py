@@ -117,7 +117,8 @@ def groups(docs: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame
     named = prints.join(named, "print", "left").select(
         "print", F.coalesce("component_id", "rep").alias("component_id")
     )
-    return rows.join(named, "print").select("doc_id", "_hash", "print", "component_id")
+    # Saved, so that the join has plain scans on both sides and Spark can split the rows of a frequent fingerprint.
+    return rows.join(scratch.save(named), "print").select("doc_id", "_hash", "print", "component_id")
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
