@@ -19,20 +19,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Tables of one job. Each is written once, so that lost executors cost no recomputation."""
+    """Tables of one job. Each is written once, so that lost executors cost no recomputation.
+
+    Results are read from these tables: call `close` when they are not needed any more.
+    """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.folder, self.count = spark, shared_folder(spark), 0
+        self.spark, self.folder = spark, shared_folder(spark)
+        self.paths: dict[int, str] = {}
+        self.count = 0
 
     def save(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.folder}/{self.count}"
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        saved = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(saved)] = path
+        return saved
 
-    def drop(self, df: DataFrame) -> None:
+    def drop(self, saved: DataFrame) -> None:
         """Delete a saved table that nothing will read again."""
-        for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-            if path.split("://")[-1].lstrip("/").startswith(self.folder.split("://")[-1].lstrip("/").replace("file:", "")):
-                place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self._delete(self.paths[id(saved)])
+
+    def close(self) -> None:
+        self._delete(self.folder)
+
+    def _delete(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)

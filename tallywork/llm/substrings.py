@@ -3,12 +3,14 @@
 Windows of `WINDOW` words are suffixes of a document, cut at that depth. They are
 split into groups that a task can hold, by a prefix of varying length:
 
+0. Of documents with one text only the first goes on: all windows of the others
+   start in it.
 1. Every window has an anchor: the run of `ANCHOR` words in it whose hash is
    least. Equal windows have equal anchors. Neighbouring windows mostly share
    one, so that a document gives few anchors, and only those found in two
    documents go on.
-2. An anchor that at most `GROUP` runs of windows share makes one group: its
-   windows' suffixes, with their words. They are sorted, which is the tree in
+2. An anchor that at most `GROUP` windows share makes one group, of about 350
+   bytes a window: its windows' suffixes, with their words. They are sorted, which is the tree in
    order, with the depth at which neighbours part; an inner node at full depth
    is a repeat, and the least doc_id among its leaves decides.
 3. For other anchors the prefix is lengthened to the full window. Such a group
@@ -35,9 +37,10 @@ from pyspark.sql import functions as F
 from tallywork.llm.scratch import Scratch
 from tallywork.llm.wording import as_bytes, sliding_min, span_hashes, window_hashes, word_spans
 
-WINDOW, ANCHOR, GROUP = 50, 8, 1024
+WINDOW, ANCHOR, GROUP = 50, 8, 200_000
 RUN = 256  # windows of a run at most
 LAST = (1 << 63) - 1  # the order of a null doc_id
+ALL = -1  # instead of a number of windows: all of them
 
 _RUNS = "doc long, _hash long, anchor long, start int, n int"
 _FOUND = "doc long, _hash long, start int, n int"
@@ -84,7 +87,7 @@ def runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFra
 
 
 def _with_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Rows of the suffix groups: runs with their words, or, where `n_runs` is over the bound, single windows."""
+    """Rows of the suffix groups: runs with their words, or, where an anchor has too many, single windows."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
@@ -187,18 +190,27 @@ def _heavy(rows: DataFrame) -> DataFrame:
     return rows.join(least, "digest").filter("doc > least").select("doc", "_hash", "start", "n")
 
 
+def copies(docs: DataFrame) -> DataFrame:
+    """Documents whose whole text an earlier one has, as runs of all their windows."""
+    rows = docs.filter("text IS NOT NULL").select("doc", "_hash", F.md5("text").alias("_digest"))
+    first = rows.groupBy("_digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
+    later = rows.join(first, "_digest").filter("doc > least")
+    return later.select("doc", "_hash", F.lit(0).alias("start"), F.lit(ALL).alias("n")).distinct()
+
+
 def repeated_windows(
     docs: DataFrame, scratch: Scratch, window: int = WINDOW, anchor: int = ANCHOR, group: int = GROUP
 ) -> DataFrame:
     """Runs of windows to take out: `doc`, `_hash`, `start`, `n`. `docs` is keyed."""
-    every = scratch.save(runs(docs, window, anchor))
+    twins = scratch.save(copies(docs))
+    every = scratch.save(runs(docs, window, anchor).join(twins, ["doc", "_hash"], "left_anti"))
     shared = every.groupBy("anchor").agg(
-        F.min("doc").alias("least"), F.max("doc").alias("most"), F.count(F.lit(1)).alias("n_runs")
+        F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("windows")
     ).filter("least < most")
-    wanted = every.join(shared.select("anchor", "n_runs"), "anchor").withColumn("many", F.col("n_runs") > group)
+    wanted = every.join(shared.select("anchor", (F.col("windows") > group).alias("many")), "anchor")
     rows = scratch.save(_with_words(docs, wanted, window))
     light, heavy = rows.filter("digest IS NULL"), rows.filter("digest IS NOT NULL")
-    return _light(light, window).union(_heavy(heavy))
+    return twins.union(_light(light, window)).union(_heavy(heavy))
 
 
 def deduplicated(
@@ -215,8 +227,9 @@ def deduplicated(
             for value, found in zip(batch["text"], batch["found"]):
                 words = as_bytes(value).split()
                 mask = np.ones(len(words), bool)
-                for run in found if found is not None else ():
-                    mask[run["start"] : run["start"] + run["n"] + window - 1] = False
+                for run in found if found is not None and len(words) >= window else ():
+                    end = len(words) if run["n"] == ALL else run["start"] + run["n"] + window - 1
+                    mask[run["start"] : end] = False
                 kept = words if mask.all() else [words[n] for n in np.flatnonzero(mask)]
                 counts.append(len(words))
                 removed.append(len(words) - len(kept))
@@ -228,10 +241,12 @@ def deduplicated(
         F.collect_set(F.struct("start", "n")).alias("found")
     )
     own = [name for name in docs.columns if name not in ("n_words", "n_removed", "kept")]
-    rows = docs.select(F.struct(*own).alias("row"), F.col(text).alias("text"), _rank(F.col("doc_id")).alias("_rank"),
-                       F.xxhash64(text).alias("_text_hash"))
+    # The text goes through the join once: inside the row, if it is one of the columns that stay.
+    inside = F.col(f"row.{text}") if text in own else F.col("_text")
+    rows = docs.select(F.struct(*own).alias("row"), _rank(F.col("doc_id")).alias("_rank"),
+                       F.xxhash64(text).alias("_text_hash"), *([] if text in own else [F.col(text).alias("_text")]))
     joined = rows.join(per_doc, (F.col("_rank") == F.col("_doc")) & (F.col("_text_hash") == F.col("_mark")), "left")
     kind = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"
-    return joined.select("row", "text", "found").mapInPandas(rest, kind).select(
+    return joined.select("row", inside.alias("text"), "found").mapInPandas(rest, kind).select(
         "row.*", "n_words", "n_removed", "kept"
     )

@@ -381,7 +381,7 @@ def test_tokens_of_nothing_and_of_a_strange_dictionary(spark, none, docs):
     tokens.write_tokens(docs.limit(3), other, path)
     shard = spark.read.parquet(f"{other}/shards").first()
     with pytest.raises(ValueError, match="another dictionary"):
-        tokens.frame(bytes(shard["index"]), bytes(shard["data"]), 0, b"strange")
+        tokens.Shard(bytes(shard["index"]), bytes(shard["data"]), b"strange", None)
 
 
 # repeated passages
@@ -404,7 +404,7 @@ def kept_words(rows, window):
     return sorted(found, key=repr)
 
 
-@pytest.mark.parametrize(("window", "anchor", "group"), [(50, 8, 1024), (50, 8, 0), (50, 8, 2), (6, 3, 1024), (6, 6, 3)])
+@pytest.mark.parametrize(("window", "anchor", "group"), [(50, 8, 9999), (50, 8, 0), (50, 8, 90), (6, 3, 9999), (6, 6, 30), (6, 3, 0)])
 def test_substrings(spark, docs, rows, window, anchor, group):
     found = substrings.deduplicated(docs, Scratch(spark), window, anchor, group)
     assert by_row(found, "doc_id", "n_words", "n_removed", "kept") == kept_words(rows, window)
@@ -485,3 +485,15 @@ def test_folder_must_be_mounted():
     assert lm.local_path("file:///a/b") == "/a/b" == lm.local_path("/a/b")
     with pytest.raises(ValueError, match="mounted"):
         lm.local_path("hdfs://a/b")
+
+
+def test_scratch_tables_go_when_told(spark):
+    from pathlib import Path
+
+    scratch = Scratch(spark)
+    first, second = scratch.save(spark.range(3)), scratch.save(spark.range(4))
+    folder = Path(lm.local_path(scratch.folder))
+    scratch.drop(first)
+    assert second.count() == 4 and [each.name for each in folder.iterdir()] == ["2"]
+    scratch.close()
+    assert not folder.exists()
