@@ -35,6 +35,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tallywork.llm.scratch import Scratch
 from tallywork.llm.wording import LOWER_BYTES, as_bytes, mixed, span_hashes, word_spans
@@ -79,14 +80,13 @@ def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return mixed((before << _HALF) | ids)
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Parts of the batches with about `CHUNK_BYTES` of text, one row at least."""
-    for batch in batches:
-        sizes = np.array([len(text) if isinstance(text, str) else 0 for text in batch["text"]], np.int64)
-        part = np.cumsum(sizes) // CHUNK_BYTES
-        edges = np.flatnonzero(np.diff(part, prepend=-1))
-        for at, end in zip(edges, np.append(edges[1:], len(batch))):
-            yield batch.iloc[at:end]
+def _chunks(texts: pd.Series) -> Iterator[list[str | None]]:
+    """Parts of a batch with about `CHUNK_BYTES` of text, one row at least."""
+    sizes = np.array([len(text) if isinstance(text, str) else 0 for text in texts], np.int64)
+    part = np.cumsum(sizes) // CHUNK_BYTES
+    edges = np.flatnonzero(np.diff(part, prepend=-1))
+    for at, end in zip(edges, np.append(edges[1:], len(texts))):
+        yield texts.iloc[at:end].tolist()
 
 
 def added(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,8 +138,8 @@ def _count_rows(docs: DataFrame, bits: int) -> DataFrame:
                 rows += _by_bucket(kind, keys, counts[:, None], bits)
             return _frame(rows)
 
-        for chunk in _chunks(batches):
-            found, counts = tokens(list(chunk["text"]))
+        for chunk in (part for batch in batches for part in _chunks(batch["text"])):
+            found, counts = tokens(chunk)
             ids = found >> _HALF
             held.append((found, pair_keys(contexts(ids, counts), ids)))
             if sum(len(one[0]) for one in held) >= CHUNK_TOKENS:
@@ -323,16 +323,18 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Add n_tokens, n_known, train_tokens, base_score, score and perplexity; columns with these names are replaced."""
     names = ["n_tokens", "n_known", "base_score", "score"]
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(StructType([
+        StructField(name, DoubleType() if name.endswith("score") else LongType()) for name in names
+    ]))
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         maps: dict = {}
-        for chunk in _chunks(batches):
-            values = score_texts(model, list(chunk["text"]), maps)
-            yield pd.concat([chunk[["row"]].reset_index(drop=True), values], axis=1)
+        for batch in batches:
+            parts = [score_texts(model, texts, maps) for texts in _chunks(batch)]
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=names)
 
     own = [name for name in docs.columns if name not in (*names, "train_tokens", "perplexity")]
-    rows = docs.select(F.struct(*own).alias("row"), F.col(text).alias("text"))
-    kind = f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, n_known long, base_score double, score double"
-    return rows.mapInPandas(scored, kind).select(
-        "row.*", *names, F.lit(model.tokens).cast("long").alias("train_tokens"),
-        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
+    rows = docs.select(F.struct(*own).alias("row"), scored(F.col(text)).alias("scored"))
+    perplexity = F.pow(F.lit(10.0), -F.col("scored.score") / F.col("scored.n_tokens"))
+    return rows.select(
+        "row.*", "scored.*", F.lit(model.tokens).cast("long").alias("train_tokens"), perplexity.alias("perplexity")
     )

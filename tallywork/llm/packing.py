@@ -33,7 +33,8 @@ from tallywork.llm.wording import words
 
 CAPACITY, SHARD = 2048, 4096
 BINS = 1 << 32  # bin numbers of a shard are below this
-_PACKED = "bin_id long, doc_id long, piece int, tokens int, source string, cluster long"
+# Long numbers go through pandas as text: beside a null they would become floating-point numbers there.
+_PACKED = "bin_id long, doc_id string, piece int, tokens int, source string, cluster string"
 
 
 def lengths(docs: DataFrame) -> DataFrame:
@@ -126,5 +127,7 @@ def pack(docs: DataFrame, scratch: Scratch, capacity: int = CAPACITY, shard: int
         if held:
             yield out()
 
+    as_text = {name: F.col(name).cast("string") for name in ("doc_id", "cluster")}
     order = ["_shard", "doc_id", "piece", "tokens", "source", "cluster"]
-    return dealt.repartition("_shard").sortWithinPartitions(*order).mapInPandas(packed, _PACKED)
+    rows = dealt.withColumns(as_text).repartition("_shard").sortWithinPartitions(*order).mapInPandas(packed, _PACKED)
+    return rows.withColumns({name: F.col(name).cast("long") for name in as_text})

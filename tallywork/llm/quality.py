@@ -154,3 +154,11 @@ def ablations(marked: DataFrame, policy: str = "prose-1", rules: list[Rule] = RU
             F.sum(F.when(bits == 0, docs).otherwise(0)).alias("n_kept"),
         )
     )
+
+
+def summary(marked: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group: the bits that any document fails, those that all fail, and the number of documents."""
+    return marked.groupBy(*keys).agg(
+        F.bit_or("failed").alias("any_failed"), F.bit_and("failed").alias("all_failed"),
+        F.count(F.lit(1)).alias("n_docs"),
+    )

@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallywork.llm.scratch import Scratch
 from tallywork.llm.wording import as_bytes, sliding_min, span_hashes, window_hashes, word_spans
@@ -185,9 +186,9 @@ def _light(rows: DataFrame, window: int) -> DataFrame:
     return dealt.sortWithinPartitions("anchor").mapInPandas(grouped, _FOUND)
 
 
-def _heavy(rows: DataFrame) -> DataFrame:
+def _heavy(rows: DataFrame, scratch: Scratch) -> DataFrame:
     least = rows.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
-    return rows.join(least, "digest").filter("doc > least").select("doc", "_hash", "start", "n")
+    return rows.join(scratch.save(least), "digest").filter("doc > least").select("doc", "_hash", "start", "n")
 
 
 def copies(docs: DataFrame) -> DataFrame:
@@ -207,10 +208,12 @@ def repeated_windows(
     shared = every.groupBy("anchor").agg(
         F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("windows")
     ).filter("least < most")
-    wanted = every.join(shared.select("anchor", (F.col("windows") > group).alias("many")), "anchor")
+    # Saved, as below: a join of plain scans is one whose frequent keys Spark can split.
+    shared = scratch.save(shared.select("anchor", (F.col("windows") > group).alias("many")))
+    wanted = every.join(shared, "anchor")
     rows = scratch.save(_with_words(docs, wanted, window))
     light, heavy = rows.filter("digest IS NULL"), rows.filter("digest IS NOT NULL")
-    return twins.union(_light(light, window)).union(_heavy(heavy))
+    return twins.union(_light(light, window)).union(_heavy(heavy, scratch))
 
 
 def deduplicated(
@@ -221,20 +224,21 @@ def deduplicated(
     Other columns stay; those of the input with these three names are replaced.
     A null text has a null `kept`.
     """
-    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            counts, removed, texts = [], [], []
-            for value, found in zip(batch["text"], batch["found"]):
-                words = as_bytes(value).split()
-                mask = np.ones(len(words), bool)
-                for run in found if found is not None and len(words) >= window else ():
-                    end = len(words) if run["n"] == ALL else run["start"] + run["n"] + window - 1
-                    mask[run["start"] : end] = False
-                kept = words if mask.all() else [words[n] for n in np.flatnonzero(mask)]
-                counts.append(len(words))
-                removed.append(len(words) - len(kept))
-                texts.append(b" ".join(kept).decode("utf-8", "surrogatepass") if isinstance(value, str) else None)
-            yield pd.DataFrame({"row": batch["row"], "n_words": counts, "n_removed": removed, "kept": texts})
+    @F.pandas_udf(StructType([
+        StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept", StringType())
+    ]))
+    def rest(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+        rows = []
+        for value, gone in zip(texts, found):
+            words = as_bytes(value).split()
+            mask = np.ones(len(words), bool)
+            for run in gone if gone is not None and len(words) >= window else ():
+                end = len(words) if run["n"] == ALL else run["start"] + run["n"] + window - 1
+                mask[run["start"] : end] = False
+            kept = words if mask.all() else [words[n] for n in np.flatnonzero(mask)]
+            left = b" ".join(kept).decode("utf-8", "surrogatepass") if isinstance(value, str) else None
+            rows.append((len(words), len(words) - len(kept), left))
+        return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept"])
 
     found = repeated_windows(_keyed(docs, text), scratch, window, anchor, group)
     per_doc = found.groupBy(F.col("doc").alias("_doc"), F.col("_hash").alias("_mark")).agg(
@@ -246,7 +250,4 @@ def deduplicated(
     rows = docs.select(F.struct(*own).alias("row"), _rank(F.col("doc_id")).alias("_rank"),
                        F.xxhash64(text).alias("_text_hash"), *([] if text in own else [F.col(text).alias("_text")]))
     joined = rows.join(per_doc, (F.col("_rank") == F.col("_doc")) & (F.col("_text_hash") == F.col("_mark")), "left")
-    kind = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept string"
-    return joined.select("row", inside.alias("text"), "found").mapInPandas(rest, kind).select(
-        "row.*", "n_words", "n_removed", "kept"
-    )
+    return joined.select("row", rest(inside, "found").alias("rest")).select("row.*", "rest.*")
