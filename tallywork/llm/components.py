@@ -1,8 +1,9 @@
 """Connected components of a table of links, by alternating large and small stars.
 
 Each round is two joins on a minimum per node; hubs are never gathered into a
-list, and a node's rows may be split between tasks. Rounds are saved in the
-shared folder; the loop ends when a round changes no link.
+list. Minima and links are saved in the shared folder, so that the joins have
+plain scans on both sides and Spark can split the rows of a hub. The loop ends
+when a round changes no link.
 """
 
 from __future__ import annotations
@@ -13,15 +14,15 @@ from pyspark.sql import functions as F
 from tallywork.llm.scratch import Scratch
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = scratch.save(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """`a` is the greater end of every link here."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = scratch.save(edges.groupBy("a").agg(F.min("b").alias("m")))
     moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -42,7 +43,8 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.save(edges)
     before = _mark(edges)
     while before[0]:
-        after_edges = scratch.save(_small_star(_large_star(edges)))
+        larger = scratch.save(_large_star(edges, scratch))
+        after_edges = scratch.save(_small_star(larger, scratch))
         after = _mark(after_edges)
         scratch.drop(edges)
         edges = after_edges

@@ -93,7 +93,8 @@ def _neighbours(value: Column, key: Column) -> Column:
 def links(prints: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame:
     """Links between distinct fingerprints (`print`): enough to join all that are close, directly or by way of others."""
     keyed = prints.select("print", F.explode(_keys(F.col("print"))).alias("key"))
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Saved, here and below: a join of plain scans is one whose frequent keys Spark can split.
+    sizes = scratch.save(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     shared = scratch.save(keyed.join(sizes, "key"))
     few = shared.filter(F.col("n") <= bucket)
     left, right = few.select("key", F.col("print").alias("a")), few.select("key", F.col("print").alias("b"))
@@ -109,15 +110,14 @@ def links(prints: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFram
 def groups(docs: DataFrame, scratch: Scratch, bucket: int = BUCKET) -> DataFrame:
     """One row per document: doc_id, `_hash` of its text, `print`, and `component_id`."""
     rows = scratch.save(docs.select("doc_id", F.xxhash64("text").alias("_hash"), fingerprints("text").alias("print")))
-    prints = rows.groupBy("print").agg(F.min("doc_id").alias("rep"))
+    prints = scratch.save(rows.groupBy("print").agg(F.min("doc_id").alias("rep")))
     found = components(links(prints.select("print"), scratch, bucket), scratch)
     linked = prints.join(found, prints["print"] == found["node"]).select("print", "rep", "least")
-    whole = linked.groupBy("least").agg(F.min("rep").alias("component_id"))
+    whole = scratch.save(linked.groupBy("least").agg(F.min("rep").alias("component_id")))
     named = linked.join(whole, "least").select("print", "component_id")
     named = prints.join(named, "print", "left").select(
         "print", F.coalesce("component_id", "rep").alias("component_id")
     )
-    # Saved, so that the join has plain scans on both sides and Spark can split the rows of a frequent fingerprint.
     return rows.join(scratch.save(named), "print").select("doc_id", "_hash", "print", "component_id")
 
 
