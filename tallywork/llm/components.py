@@ -1,8 +1,8 @@
 """Connected components of a table of links, by alternating large and small stars.
 
 Each round is two joins on a minimum per node; hubs are never gathered into a
-list, and a node's rows may be split between tasks. Rounds are saved in the
-shared folder; the loop ends when a round changes no link.
+list, though the links of one hub stream through one task. Rounds are saved in
+the shared folder; the loop ends when a round changes no link.
 """
 
 from __future__ import annotations
