@@ -28,7 +28,7 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
         "part", "shard", "place", "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"),
     )
-    return tokens.starts(read).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return tokens.starts(Scratch(spark).save(read)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query("op4_best_fit_packing")

@@ -19,9 +19,15 @@ Null and empty texts hold the end id alone. An empty table gives no shards.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import os
+import re
 import struct
+import sys
+import types
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +41,8 @@ from tallywork.llm.wording import as_bytes
 
 MAGIC, VERSION, END = b"TKID", 1, 1
 SAMPLE, PIECES, PIECE, DICTIONARY = 1000, 4, 8192, 1 << 16
-SHARD_BYTES, SHARD_DOCS = 4 << 20, 4096
-KEPT_WORDS = 400_000
+SHARD_BYTES, SHARD_DOCS, LEVEL = 4 << 20, 4096, 3
+KEPT_WORDS, KEPT_PIECES, TOGETHER = 800_000, 500_000, 64
 _HEAD = "<4sHH32sI"
 _SHARD = (
     "part int, shard int, first_id long, last_id long, doc_ids array<long>, n_tokens array<int>, "
@@ -44,11 +50,33 @@ _SHARD = (
 )
 
 
+_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+def pieces(word: str) -> list[str] | None:
+    """The parts of a word, in lower case, that the tokenizer takes one by one; None if that is not plain to see.
+
+    It cuts lower-cased, composed text into runs of letters, single digits and
+    runs of anything else; an apostrophe may cut elsewhere, and `<|` may begin a
+    special token.
+    """
+    if "<|" in word or "'" in word:
+        return None
+    if word.isascii():
+        return _PIECES.findall(word.lower())
+    core = word.rstrip(".,;:!?")
+    small = core.lower()
+    if "Σ" not in core and core.isalpha() and small.isalpha() and unicodedata.is_normalized("NFC", core):
+        return [small, word[len(core) :]] if len(core) < len(word) else [small]
+    return None
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, with the ids of seen words kept.
 
     The tokenizer drops white space and never looks across it, so that the ids
-    of a text are those of its words between blanks.
+    of a text are those of its words between blanks, and those of a word are the
+    ids of its pieces. A piece goes straight to the tokenizer's merges.
     """
 
     def __init__(self, path: str):
@@ -57,31 +85,59 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode(
-            [word.decode("utf-8", "surrogatepass") for word in words], is_pretokenized=True, add_special_tokens=False
+        # Fixed value: the characters that stand for bytes in this kind of vocabulary.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [byte for byte in range(256) if byte not in plain]
+        self.letters = {byte: 256 + n for n, byte in enumerate(others)}
+        self.words: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _learn_pieces(self, new: set[str]) -> None:
+        merges, letters = self.tokenizer.model.tokenize, self.letters
+        for piece in new:
+            shown = piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(letters)
+            self.pieces[piece] = array("I", [token.id for token in merges(shown)]).tobytes()
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.words) > KEPT_WORDS:
+            self.words = {}
+        if len(self.pieces) > KEPT_PIECES:
+            self.pieces = {}
+        parts = [(word, text, pieces(text)) for word, text in [(w, w.decode("utf-8", "surrogatepass")) for w in words]]
+        self._learn_pieces({piece for _, _, found in parts if found for piece in found}.difference(self.pieces))
+        ids = self.pieces
+        self.words.update(
+            (word, self._whole(text) if found is None else b"".join([ids[piece] for piece in found]))
+            for word, text, found in parts
         )
-        ids = np.array(found.ids, "<u4")
-        owners = np.array([-1 if owner is None else owner for owner in found.word_ids], np.int64)
-        if (owners < 0).any() or (np.diff(owners) < 0).any():
-            for word in words:
-                one = self.tokenizer.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False)
-                self.known[word] = np.array(one.ids, "<u4").tobytes()
-            return
-        cuts = np.searchsorted(owners, np.arange(len(words) + 1)) * 4
-        data = ids.tobytes()
-        self.known.update(zip(words, (data[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()))))
 
-    def encode(self, text: str | None) -> bytes:
-        words = as_bytes(text).split()
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        new = list(set(words).difference(self.known))
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text."""
+        split = [as_bytes(text).split() for text in texts]
+        found = [list(map(self.words.get, words)) for words in split]
+        new = {word for words, ids in zip(split, found) if None in ids for word, one in zip(words, ids) if one is None}
         if new:
             self._learn(new)
-        return b"".join(map(self.known.__getitem__, words))
+            known = self.words
+            found = [
+                [known[word] if one is None else one for word, one in zip(words, ids)] if None in ids else ids
+                for words, ids in zip(split, found)
+            ]
+        return [b"".join(ids) for ids in found]
+
+    def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process. A worker runs many tasks, and words met in one are known in the next."""
+    kept = sys.modules.setdefault("_tallywork_encoders", types.ModuleType("_tallywork_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Encoder(path)
+    return kept[path]
 
 
 def _narrow(ids: bytes, width: int) -> bytes:
@@ -95,25 +151,34 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
     """A zstandard dictionary for these documents' ids; empty if they are too few to train one."""
     chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer)
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        worker = encoder(tokenizer)
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                data = _narrow(encoder.encode(text) + _END_BYTES, encoder.width)
+                data = _narrow(worker.encode(text) + _END_BYTES, worker.width)
                 count = min(PIECES, -(-len(data) // PIECE))
-                starts = np.linspace(0, max(0, len(data) - PIECE), count).astype(int) // encoder.width * encoder.width
+                starts = np.linspace(0, max(0, len(data) - PIECE), count).astype(int) // worker.width * worker.width
                 rows += [data[at : at + PIECE] for at in starts]
             yield pd.DataFrame({"piece": rows})
 
     sample = docs.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi").select("text").limit(SAMPLE)
-    samples = [bytes(row[0]) for row in sample.mapInPandas(pieces, "piece binary").collect()]
+    samples = [bytes(row[0]) for row in sample.mapInPandas(cut, "piece binary").collect()]
     try:
         return zstandard.train_dictionary(DICTIONARY, sorted(samples)).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
+def _encoded(worker: Encoder, texts: pd.Series) -> Iterator[bytes]:
+    gc.disable()  # the kept words are many objects to search, and none of them can be in a cycle
+    try:
+        for at in range(0, len(texts), TOGETHER):
+            yield from worker.encode_all(texts.iloc[at : at + TOGETHER].tolist())
+    finally:
+        gc.enable()
+
+
 def _codec(dictionary: bytes) -> dict:
     return {"dict_data": zstandard.ZstdCompressionDict(dictionary)} if dictionary else {}
 
@@ -129,8 +194,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     )
 
     def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part, number = Encoder(tokenizer), TaskContext.get().partitionId(), 0
-        packer = zstandard.ZstdCompressor(level=3, **_codec(dictionary))
+        worker, part, number = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        codec = _codec(dictionary)
+        if codec:
+            codec["dict_data"].precompute_compress(level=LEVEL)
+        packer = zstandard.ZstdCompressor(level=LEVEL, **codec)
         ids: list = []
         counts: list[int] = []
         frames: list[bytes] = []
@@ -138,7 +206,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
 
         def row() -> pd.DataFrame:
             offsets = np.concatenate(([0], np.cumsum([len(frame) for frame in frames]))).astype("<u8")
-            head = struct.pack(_HEAD, MAGIC, VERSION, encoder.width, mark, len(frames))
+            head = struct.pack(_HEAD, MAGIC, VERSION, worker.width, mark, len(frames))
             known = [one for one in ids if one is not None]
             return pd.DataFrame({
                 "part": [part], "shard": [number],
@@ -148,9 +216,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
             })
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                data = encoder.encode(text) + _END_BYTES
-                frame = packer.compress(_narrow(data, encoder.width))
+            for doc_id, ids_of_text in zip(batch["doc_id"], _encoded(worker, batch["text"])):
+                data = ids_of_text + _END_BYTES
+                frame = packer.compress(_narrow(data, worker.width))
                 if frames and (size + len(frame) > SHARD_BYTES or len(frames) >= SHARD_DOCS):
                     yield row()
                     ids, counts, frames, size, number = [], [], [], 0, number + 1
@@ -162,7 +230,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
             yield row()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInPandas(shards, _SHARD).write.parquet(f"{path}/shards")
+    # As text, since pandas would turn long numbers beside a null into floating-point numbers.
+    ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(shards, _SHARD).write.parquet(f"{path}/shards")
 
 
 def _dictionary(spark: SparkSession, path: str) -> bytes:
@@ -173,16 +242,22 @@ def _dictionary(spark: SparkSession, path: str) -> bytes:
     return dictionary
 
 
-def frame(index: bytes, data: bytes, place: int, dictionary: bytes, unpacker=None) -> np.ndarray:
-    """The ids of one document of a shard; nothing else of the shard is decompressed."""
-    magic, version, width, mark, count = struct.unpack_from(_HEAD, index)
-    if magic != MAGIC or version != VERSION or not 0 <= place < count:
-        raise ValueError("not a document of a token shard of this version")
-    if mark != hashlib.sha256(dictionary).digest():
-        raise ValueError("the shard was written with another dictionary")
-    start, end = np.frombuffer(index, "<u8", 2, struct.calcsize(_HEAD) + 8 * place).tolist()
-    unpacker = unpacker or zstandard.ZstdDecompressor(**_codec(dictionary))
-    return np.frombuffer(unpacker.decompress(data[start:end]), "<u2" if width == 2 else "<u4").astype("<u4")
+class Shard:
+    """Access to the documents of one shard; only what is asked for is decompressed."""
+
+    def __init__(self, index: bytes, data: bytes, mark: bytes, unpacker: zstandard.ZstdDecompressor):
+        """`mark` is the SHA-256 of the dictionary at hand."""
+        magic, version, width, written, self.count = struct.unpack_from(_HEAD, index)
+        if magic != MAGIC or version != VERSION:
+            raise ValueError("not a token shard of this version")
+        if written != mark:
+            raise ValueError("the shard was written with another dictionary")
+        self.kind, self.data, self.unpacker = "<u2" if width == 2 else "<u4", data, unpacker
+        self.offsets = np.frombuffer(index, "<u8", self.count + 1, struct.calcsize(_HEAD))
+
+    def ids(self, place: int) -> np.ndarray:
+        start, end = self.offsets[place : place + 2].tolist()
+        return np.frombuffer(self.unpacker.decompress(self.data[start:end]), self.kind).astype("<u4")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -190,20 +265,22 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     dictionary = _dictionary(spark, path)
 
     def documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpacker = zstandard.ZstdDecompressor(**_codec(dictionary))
+        unpacker, mark = zstandard.ZstdDecompressor(**_codec(dictionary)), hashlib.sha256(dictionary).digest()
         for batch in batches:
-            for shard in batch.itertuples():
-                count = len(shard.doc_ids)
+            for shard in batch.itertuples(name=None, index=False):
+                part, number, doc_ids, index, data = shard
+                opened, count = Shard(index, data, mark, unpacker), len(doc_ids)
                 for start in range(0, count, 256):
                     places = range(start, min(start + 256, count))
                     yield pd.DataFrame({
-                        "part": shard.part, "shard": shard.shard, "place": list(places),
-                        "doc_id": pd.array([None if pd.isna(shard.doc_ids[n]) else int(shard.doc_ids[n]) for n in places],
-                                           "Int64"),
-                        "ids": [frame(shard.index, shard.data, n, dictionary, unpacker).tobytes() for n in places],
+                        "part": part, "shard": number, "place": list(places),
+                        "doc_id": pd.array([None if pd.isna(doc_ids[n]) else int(doc_ids[n]) for n in places], "Int64"),
+                        "ids": [opened.ids(n).tobytes() for n in places],
                     })
 
-    stored = spark.read.schema(_SHARD).parquet(f"{path}/shards").select("part", "shard", "doc_ids", "index", "data")
+    stored = spark.read.schema(_SHARD).parquet(f"{path}/shards").select(
+        "part", "shard", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "index", "data"
+    )
     return stored.mapInPandas(documents, "part int, shard int, place int, doc_id long, ids binary")
 
 
@@ -212,12 +289,11 @@ def document(spark: SparkSession, path: str, doc_id: int) -> list[list[int]]:
     dictionary = _dictionary(spark, path)
     shards = spark.read.schema(_SHARD).parquet(f"{path}/shards")
     shards = shards.filter((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    unpacker, mark = zstandard.ZstdDecompressor(**_codec(dictionary)), hashlib.sha256(dictionary).digest()
     found = []
-    for shard in shards.orderBy("part", "shard").toLocalIterator():
-        found += [
-            frame(bytes(shard["index"]), bytes(shard["data"]), place, dictionary).tolist()
-            for place, one in enumerate(shard["doc_ids"]) if one == doc_id
-        ]
+    for row in shards.orderBy("part", "shard").toLocalIterator():
+        shard = Shard(bytes(row["index"]), bytes(row["data"]), mark, unpacker)
+        found += [shard.ids(place).tolist() for place, one in enumerate(row["doc_ids"]) if one == doc_id]
     return found
 
 
