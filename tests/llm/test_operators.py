@@ -112,6 +112,17 @@ def test_quality_keeps_columns_and_rejects(docs, none):
     assert quality.keep(none).count() == 0 and quality.ledger(none).count() == 0
 
 
+def test_summary_of_bits(docs):
+    marked = quality.ledger(docs)
+    rows = marked.select("source", "failed").collect()
+    for each in quality.summary(marked, ["source"]).collect():
+        bits = [one["failed"] for one in rows if one["source"] == each["source"]]
+        every = anything = bits[0]
+        for one in bits:
+            every, anything = every & one, anything | one
+        assert (each["any_failed"], each["all_failed"], each["n_docs"]) == (anything, every, len(bits))
+
+
 def test_ablations_agree_with_policies(docs):
     marked = quality.ledger(docs).select("failed").collect()
     whole = quality.mask(quality.POLICIES["prose-1"])
@@ -373,6 +384,22 @@ def test_tokens_round_trip(spark, docs, rows):
     assert sorted(tokens.document(spark, folder, 38)) == sorted(ids(each[1]) for each in rows if each[0] == 38)
 
 
+def test_long_ids_beside_a_null_stay_exact(spark):
+    large = [(2**60 + 1, "a b", "s"), (2**60 + 2, "a c", "s"), (None, None, None)]
+    docs = spark.createDataFrame(large, "doc_id long, text string, source string").coalesce(1)
+    folder = shared_folder(spark)
+    tokens.write_tokens(docs, folder, public_tokenizers.path("word_bpe_49k.json"))
+    ids = {each[0] for each in large}
+    assert {each["doc_id"] for each in tokens.read_tokens(spark, folder).collect()} == ids
+    sizes = packing.lengths(docs)
+    packed = packing.pack(sizes, Scratch(spark)).collect()
+    assert {each["doc_id"] for each in packed} == ids
+    assert {each["cluster"] for each in packed} == {each["cluster"] for each in sizes.collect()}
+    assert {each["doc_id"] for each in simhash.groups(docs, Scratch(spark)).collect()} == ids
+    assert {each["doc_id"] for each in substrings.deduplicated(docs, Scratch(spark)).collect()} == ids
+    assert {each["doc_id"] for each in lm.score(docs, lm.train(docs, Scratch(spark))).collect()} == ids
+
+
 def test_tokens_of_nothing_and_of_a_strange_dictionary(spark, none, docs):
     path, folder = public_tokenizers.path("word_bpe_49k.json"), shared_folder(spark)
     tokens.write_tokens(none, folder, path)
