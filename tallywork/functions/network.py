@@ -16,16 +16,16 @@ def ip_to_long(ip: Column, strict: bool = True) -> Column:
     Octets are not range-checked. An address that is no list of numbers fails
     the job when strict, else gives null, whatever the session's ANSI setting is.
     """
-    return parts_to_long(ip_parts(ip), strict)
+    return F.element_at(F.transform(F.array(ip_parts(ip, strict)), parts_to_long), 1)
 
 
-def ip_parts(ip: Column) -> Column:
-    """The dotted numbers as texts; dots at the end separate nothing."""
-    return java_split(ip, ".")
+def ip_parts(ip: Column, strict: bool = True) -> Column:
+    """The dotted numbers; dots at the end separate nothing."""
+    return F.transform(java_split(ip, "."), lambda part: typed(part, "bigint", strict))
 
 
-def parts_to_long(parts: Column, strict: bool = True) -> Column:
-    """The fold over split parts, without a lambda so that it stays in code generation.
+def parts_to_long(parts: Column) -> Column:
+    """The fold over the numbers.
 
     A part that is i places from the end ends up shifted by 8 * i bits. From
     eight places on nothing of it is left in a long, so any number of parts
@@ -33,7 +33,7 @@ def parts_to_long(parts: Column, strict: bool = True) -> Column:
     """
 
     def shifted(place: int, part: Column) -> Column:
-        return F.shiftleft(typed(part, "bigint", strict), 8 * place)
+        return F.shiftleft(part, 8 * place)
 
     four = [shifted(3 - index, F.get(parts, F.lit(index))) for index in range(4)]
     last = F.size(parts) - 1

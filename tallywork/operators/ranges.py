@@ -90,8 +90,8 @@ def _pieces(ranges: DataFrame) -> DataFrame:
 
 
 def _numbered(probe: DataFrame, ip: str, strict: bool) -> DataFrame:
-    split = computed_once(probe, "_parts", ip_parts(F.col(ip)))
-    return computed_once(split, "_number", parts_to_long(F.col("_parts"), strict)).drop("_parts")
+    split = computed_once(probe, "_parts", ip_parts(F.col(ip), strict))
+    return computed_once(split, "_number", parts_to_long(F.col("_parts"))).drop("_parts")
 
 
 def _located(counts: DataFrame, ranges: DataFrame) -> DataFrame:
