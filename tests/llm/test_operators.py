@@ -359,6 +359,21 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), model).count() == 0
 
 
+def test_url_model_on_urls_that_it_was_not_trained_on(spark):
+    """Of each pair one is to be blocked: by its host, with a path that both have, or by its path alone."""
+    trained = " ".join(url for url, _ in urls.whole_urls())
+    hosts = [("casino-win", "plum-valley"), ("ads-track", "fernhill"), ("adult-x", "riverbend"), ("spam-farm", "stonebridge")]
+    paths = [("/casino/welcome-bonus", "/articles/77"), ("/shop/cheap-viagra-online", "/recipes/soup.html"),
+             ("/adult/videos/9", "/science/moon"), ("/ads/click/4", "/news/2021/market")]
+    assert not any(name in trained for pair in hosts for name in pair)
+    assert not any(f"{path} " in f"{trained} " for pair in paths for path in (pair[0], pair[1]))
+    cases = [(f"http://www.{name}.example.net/de/5", n == 0) for pair in hosts for n, name in enumerate(pair)]
+    cases += [(f"http://www.plum-valley.example.com{path}", n == 0) for pair in paths for n, path in enumerate(pair)]
+    frame = spark.createDataFrame(cases, "url string, block boolean")
+    for each in urls.judge(frame, urls.train(urls.labelled(spark)), []).collect():
+        assert (each["verdict"] == "block") == each["block"], each["url"]
+
+
 # token files
 
 
