@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 
 import numpy as np
@@ -15,6 +16,9 @@ from tallywork.llm.scratch import Scratch
 from test_operators import SCHEMA, by_row, check_bins, hits, kept_words, linked, measures, rows_for_tests, split
 
 
+WORDS = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in "lmnrst"]
+
+
 @pytest.fixture(scope="module")
 def rows():
     """Rows with ids of their own, as the given tables have."""
@@ -133,6 +137,32 @@ def test_pipeline_stage_by_stage(spark, folder, rows, items):
     assert sorted(map(tuple, found)) == sorted(map(tuple, again))
 
 
+def test_pipeline_drops_near_copies_of_any_edits(spark, tmp_path):
+    """Chains, copies with edits all over, many words in common, short and odd texts; every pair compared by hand."""
+    rng = random.Random(11)
+    common = [rng.choice(WORDS) for _ in range(12)]
+    texts = [None, "", " \n", "one two", "One  two", "a b c d e f"]
+    for _ in range(12):
+        words = [rng.choice(WORDS) for _ in range(rng.randrange(30, 400))] + common
+        for _ in range(6):
+            words = list(words)
+            for at in rng.sample(range(len(words)), rng.randrange(1, 2 + len(words) // 45)):
+                words[at] = rng.choice(WORDS)
+            texts.append(" ".join(words))
+    sets = [{tuple(w[n : n + 5]) for n in range(max(1, len(w) - 4))} if (w := split(text, lower=True)) else set() for text in texts]
+    ids = range(len(texts))
+    pairs = [(a, b) for a in ids for b in ids if a < b and sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    groups = linked(pairs, ids)
+    expected = [n for n in ids if groups[n] == n]
+    assert len(pairs) > 40 and 20 < len(expected) < len(texts) - 20
+    docs = spark.createDataFrame([(n, text, "en", "s", 1) for n, text in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    found = dict(corpus_pipeline.STAGES)["near copies by similarity"](spark, docs, str(tmp_path))
+    assert found.columns == docs.columns and sorted(each["doc_id"] for each in found.collect()) == expected
+
+
 def test_pipeline_of_nothing(spark, folder, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
