@@ -4,8 +4,9 @@ A plain `rollup` or `cube` multiplies every input row by the number of levels
 before its first aggregation. Measures that can be merged are first aggregated
 to the finest level here, and only the reduced rows are multiplied. A measure
 states how: counts and sums add up, extremes take the extreme, averages come
-from a sum and a count. Any other aggregate, given as a plain column, goes
-through Spark's own grouping, and with it the measures beside it.
+from a sum and a count. Distinct counts are bitmaps over dense numbers, which
+levels and windows join by `or`. Any other aggregate, given as a plain column,
+goes through Spark's own grouping, and with it the measures beside it.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallywork.operators import bitmaps
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -30,7 +33,18 @@ class Measure:
     merge: Callable[..., Column]
 
 
-Measures = dict[str, "Measure | Column"]
+@dataclass(frozen=True)
+class Distinct:
+    """The number of distinct values of a column; null is none.
+
+    With `dense` the column itself holds numbers from zero on, close together.
+    """
+
+    column: str
+    dense: bool = False
+
+
+Measures = dict[str, "Measure | Distinct | Column"]
 
 
 def count_rows() -> Measure:
@@ -63,6 +77,10 @@ def average(column: str) -> Measure:
     )
 
 
+def distinct_of(column: str, dense: bool = False) -> Distinct:
+    return Distinct(column, dense)
+
+
 def _level() -> Column:
     return F.grouping_id().cast("bigint").alias("level_id")
 
@@ -98,28 +116,62 @@ def _whole(measures: Measures) -> list[Column]:
     return [aggregate(measure).alias(name) for name, measure in measures.items()]
 
 
-def _grouped(df: DataFrame, keys: list[str], measures: Measures, levels: Callable) -> DataFrame:
+def _distinct(df: DataFrame, keys: list[str], name: str, measure: Distinct, sets: list[list[str]]) -> DataFrame:
+    """A distinct count on the given levels: only bitmaps of the finest level are multiplied.
+
+    The bucket of a bitmap is a key of every level, so it is the last bit of the
+    level's number and always 0.
+    """
+    numbered = (df.withColumn("_id", F.col(measure.column)) if measure.dense else bitmaps.numbered(df, measure.column, "_id"))
+    parts = bitmaps.parts(numbered, keys, "_id")
+    levels = parts.groupingSets([[*map(F.col, level), F.col("_bucket")] for level in sets], *keys, "_bucket")
+    merged = levels.agg(F.bitmap_or_agg("_bits").alias("_bits"), F.shiftright(F.grouping_id(), 1).cast("bigint").alias("level_id"))
+    counts = bitmaps.counts(merged, [*keys, "level_id"], name)
+    if [] not in sets:
+        return counts
+    # Spark gives the grand total of no rows, but not when a bucket is a key beside it.
+    none = [F.lit(None).cast(df.schema[key].dataType).alias(key) for key in keys]
+    total = bitmaps.counts(merged.filter(F.col("level_id") == 2 ** len(keys) - 1), [], name).select(*none, F.lit(2 ** len(keys) - 1).cast("bigint").alias("level_id"), name)
+    return counts.filter(F.col("level_id") != 2 ** len(keys) - 1).unionByName(total)
+
+
+def _grouped(df: DataFrame, keys: list[str], measures: Measures, levels: Callable, sets: list[list[str]]) -> DataFrame:
+    distinct = {name: measure for name, measure in measures.items() if isinstance(measure, Distinct)}
+    rest = {name: measure for name, measure in measures.items() if name not in distinct}
+    if distinct:
+        tables = [_distinct(df, keys, name, measure, sets) for name, measure in distinct.items()]
+        tables += [_grouped(df, keys, rest, levels, sets)] if rest else []
+        return reduce(lambda one, other: _beside(one, other, keys), tables).select(*keys, *measures, "level_id")
     if _parts(measures) is None:
         return levels(df).agg(*_whole(measures), _level())
     return levels(_finest(df, keys, measures)).agg(*_merged(measures), _level())
 
 
+def _beside(one: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Two results on the same levels in one; keys are null outside their level."""
+    by = [*keys, "level_id"]
+    other = other.withColumnsRenamed({name: f"_other_{name}" for name in by})
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"_other_{name}")) for name in by])
+    return one.join(other, same).drop(*[f"_other_{name}" for name in by])
+
+
 def grouping_sets(
     df: DataFrame, keys: list[str], sets: list[list[str]], measures: Measures
 ) -> DataFrame:
     """Chosen levels; a key outside a level is null, `level_id` tells it from a real null."""
     columns = [[F.col(name) for name in level] for level in sets]
-    return _grouped(df, keys, measures, lambda rows: rows.groupingSets(columns, *keys))
+    return _grouped(df, keys, measures, lambda rows: rows.groupingSets(columns, *keys), sets)
 
 
 def rollup(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
     """Every prefix of the keys, down to the grand total."""
-    return _grouped(df, keys, measures, lambda rows: rows.rollup(*keys))
+    return _grouped(df, keys, measures, lambda rows: rows.rollup(*keys), [keys[:n] for n in range(len(keys), -1, -1)])
 
 
 def cube(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:
     """Every subset of the keys."""
-    return _grouped(df, keys, measures, lambda rows: rows.cube(*keys))
+    subsets = [[key for n, key in enumerate(keys) if chosen >> n & 1] for chosen in range(2 ** len(keys))]
+    return _grouped(df, keys, measures, lambda rows: rows.cube(*keys), subsets)
 
 
 def subtotals_union(df: DataFrame, keys: list[str], measures: Measures) -> DataFrame:

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallywork.functions import user_functions
+from tallywork.functions import aggregators, user_functions
 from tallywork.operators import aggregates, cells, grouping, orders, partitions, ratings, records, topk, upsert
 from tallywork.plans import inputs
 from tallywork.plans.registry import query
@@ -182,8 +182,14 @@ def rollup_average(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cube_distinct", _level_sql("CUBE (area, member_type, product)", "count(DISTINCT price) AS prices"))
 def cube_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A measure that cannot be merged goes through Spark's own cube."""
-    return grouping.cube(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, {"prices": F.count_distinct("price")})
+    """Distinct prices as bitmaps: the cube multiplies those of the finest level, not the orders."""
+    return grouping.cube(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, {"prices": grouping.distinct_of("price")})
+
+
+@query("rollup_distinct", _level_sql("ROLLUP (area, member_type, product)", "count(*) AS cnt, count(DISTINCT price) AS prices"))
+def rollup_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures = {"cnt": grouping.count_rows(), "prices": grouping.distinct_of("price")}
+    return grouping.rollup(inputs.member_orders(spark, sf_dir), LEVEL_KEYS, measures)
 
 
 @query("group_sum", f"SELECT {KEYS_SQL}, {SUM_SQL} FROM ({inputs.MEMBER_ORDERS_SQL}) GROUP BY {KEYS_SQL}")
@@ -407,6 +413,36 @@ def udaf_avg_arrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_functions.average_arrow(_balances(spark, sf_dir), ["c_mktsegment"], "balance", "avg_balance")
 
 
+TOP = 3
+
+
+@query("udaf_buffers_avg", f"SELECT c_mktsegment, {AVERAGE} FROM customer GROUP BY c_mktsegment")
+def udaf_buffers_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The average with a user's own buffers, merged in a tree."""
+    return aggregators.aggregate(_balances(spark, sf_dir), ["c_mktsegment"], "balance", aggregators.LongAverage(), "avg_balance")
+
+
+@query(
+    "udaf_buffers_product",
+    """
+    SELECT l_returnflag, l_linestatus, list_reduce(list(l_quantity::BIGINT), lambda a, b: a * b % 1000003) AS product
+    FROM lineitem GROUP BY l_returnflag, l_linestatus
+    """,
+)
+def udaf_buffers_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantities = inputs.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_quantity").cast("bigint").alias("quantity"))
+    return aggregators.aggregate(quantities, ["l_returnflag", "l_linestatus"], "quantity", aggregators.Product(1_000_003), "product")
+
+
+@query(
+    "udaf_buffers_top",
+    f"SELECT o_orderpriority, list_sort(list((o_totalprice * 100)::BIGINT), 'DESC')[1:{TOP}] AS cents FROM orders GROUP BY o_orderpriority",
+)
+def udaf_buffers_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = inputs.table(spark, sf_dir, "orders").select("o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    return aggregators.aggregate(prices, ["o_orderpriority"], "cents", aggregators.TopValues(TOP), "cents")
+
+
 # --- partitions and local data -----------------------------------------------------------------------------
 
 
