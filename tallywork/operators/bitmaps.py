@@ -8,7 +8,7 @@ number of bits. Partial bitmaps are built before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CLASSES = 256  # ranges in which values are numbered at the same time
@@ -28,18 +28,22 @@ def numbered(df: DataFrame, column: str, name: str, classes: int = CLASSES) -> D
     return df.join(numbers, F.col(column) == F.col("_value"), "left").drop("_value")
 
 
-def parts(df: DataFrame, keys: list[str], number: str) -> DataFrame:
-    """One row per key and bucket: `_bucket` and its `_bits`. A null number sets no bit, but its key is there."""
-    bucket = F.bitmap_bucket_number(F.col(number).cast("bigint") + 1).alias("_bucket")
-    bits = F.bitmap_construct_agg(F.bitmap_bit_position(F.col(number).cast("bigint") + 1)).alias("_bits")
-    return df.groupBy(*keys, bucket).agg(bits)
+def parts(df: DataFrame, keys: list[str], number: str, *beside: Column) -> DataFrame:
+    """One row per key and bucket: `_bucket`, its `_bits`, and other aggregates of its rows.
+
+    A null number sets no bit, but its key is there.
+    """
+    place = F.col(number).cast("bigint") + 1
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits")
+    return df.groupBy(*keys, F.bitmap_bucket_number(place).alias("_bucket")).agg(bits, *beside)
 
 
-def merged(rows: DataFrame, keys: list[str]) -> DataFrame:
+def merged(rows: DataFrame, keys: list[str], *beside: Column) -> DataFrame:
     """The bitmaps of several parts in one."""
-    return rows.groupBy(*keys, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+    return rows.groupBy(*keys, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"), *beside)
 
 
-def counts(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+def counts(rows: DataFrame, keys: list[str], name: str, *beside: Column) -> DataFrame:
     """Distinct values per key, of merged bitmaps."""
-    return rows.groupBy(*keys).agg(F.coalesce(F.sum(F.bitmap_count("_bits")), F.lit(0).cast("bigint")).alias(name))
+    total = F.coalesce(F.sum(F.bitmap_count("_bits")), F.lit(0).cast("bigint")).alias(name)
+    return rows.groupBy(*keys).agg(total, *beside)

@@ -13,18 +13,20 @@ from pyspark.sql import types as T
 
 from tallywork.functions.clock import utc_instant, utc_text
 from tallywork.functions.fields import decode_records, record_view
-from tallywork.operators import orders, records, words
+from tallywork.operators import bitmaps, orders, records, words
 from tallywork.plans import inputs
 from tallywork.plans.batch_text import COUNTS
 from tallywork.plans.registry import query
+from tallywork.session import SETTINGS
 from tallywork.sources.streams import stream_lines, stream_parquet
-from tallywork.streaming import outputs, totals, windows
+from tallywork.streaming import buckets, outputs, totals, windows
 from tallywork.streaming.runner import (
     Arrivals,
     latest_batch,
     read_batches,
     run_available,
     run_until_idle,
+    settings,
     to_batch_dirs,
     workspace,
 )
@@ -126,6 +128,15 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outputs.keyed_table(spark, arrivals.output, ["word"])
 
 
+@query("stream_upsert_buckets", f"SELECT word, count(*) AS cnt FROM ({TALK_WORDS}) GROUP BY word")
+def stream_upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed table in hash buckets, of which a batch writes anew only those that have changed much."""
+    arrivals = Arrivals(spark, "words-buckets", inputs.LINE_SCHEMA)
+    table = buckets.BucketTable(spark, arrivals.output, ["word"], buckets=16)
+    arrivals.run_slices(_talk(spark, sf_dir), "slice", SLICES, _count_words, buckets.bucket_table_action(table), "update")
+    return table.rows()
+
+
 FILES = 4
 
 
@@ -337,6 +348,33 @@ def daily_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "daily_timer_total",
+    """
+    SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS day, event_type,
+           sum(value::DECIMAL(18,2))::DOUBLE AS amount, count(*) AS cnt
+    FROM events GROUP BY ALL
+    """,
+)
+def daily_timer_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals per day whose state ends with the day. Each slice has rows of all days, so most rows come late."""
+    schema = T.StructType([T.StructField("instant", T.TimestampType()), T.StructField("event_type", T.StringType()), T.StructField("cents", T.LongType())])
+    arrivals = Arrivals(spark, "daily-timers", schema)
+    rows = inputs.table(spark, sf_dir, "events").select(
+        utc_instant(F.col("ts")).alias("instant"), "event_type", (F.col("value").cast(inputs.MONEY) * 100).cast("bigint").alias("cents"),
+        F.expr(f"pmod(event_id, {SLICES})").alias("slice"),
+    )
+    table = buckets.BucketTable(spark, arrivals.output, ["event_type", "day"], buckets=8)
+
+    def daily(stream: DataFrame) -> DataFrame:
+        return totals.day_totals(stream, "instant", "event_type", "cents", "6 hours")
+
+    with settings(spark, {"spark.sql.streaming.stateStore.providerClass": SETTINGS["spark.sql.streaming.stateStore.providerClass"]}):
+        arrivals.run_slices(rows, "slice", SLICES, daily, totals.day_table_action(table), "update")
+    amount = (F.col("amount").cast("decimal(20,0)") / 100).cast("double")
+    return table.rows().select(utc_text(F.timestamp_millis("day")).alias("day"), "event_type", amount.alias("amount"), "cnt")
+
+
 # --- windows -----------------------------------------------------------------------------------------
 
 WINDOW_SQL = f"""
@@ -382,6 +420,41 @@ def stream_window_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_windows(spark, sf_dir, "window-sql", count, windows.merge_counts_sql("province_id"))
 
 
+LONG, LONG_SLICES = 4, 6
+LONG_SQL = f"""
+    WITH s AS (SELECT o_orderkey % {LONG_SLICES} AS batch_id, c_nationkey AS province_id, o_custkey, o_totalprice::DECIMAL(18,2) AS price
+               FROM orders JOIN customer ON c_custkey = o_custkey)
+    SELECT b.batch_id, s.province_id, max(s.price)::DOUBLE AS top_price, count(DISTINCT s.o_custkey) AS customers
+    FROM (SELECT DISTINCT batch_id FROM s) AS b JOIN s ON s.batch_id BETWEEN b.batch_id - {LONG - 1} AND b.batch_id
+    GROUP BY b.batch_id, s.province_id
+"""
+
+
+@query("stream_window_long", LONG_SQL)
+def stream_window_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The greatest price and the number of customers over four batches: nothing that could be taken away from a window."""
+    schema = T.StructType([T.StructField("province_id", T.LongType()), T.StructField("customer", T.LongType()), T.StructField("price", T.DecimalType(18, 2))])
+    arrivals = Arrivals(spark, "window-long", schema)
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").cast("bigint").alias("province_id"))
+    rows = inputs.table(spark, sf_dir, "orders").join(customers, "o_custkey").select(
+        "province_id", F.col("o_custkey").cast("bigint").alias("customer"), F.col("o_totalprice").cast(inputs.MONEY).alias("price"),
+        F.expr(f"pmod(o_orderkey, {LONG_SLICES})").alias("slice"),
+    )
+
+    def count(batch: DataFrame) -> DataFrame:
+        return bitmaps.parts(batch, ["province_id"], "customer", F.max("price").alias("top_price"))
+
+    def merge(window: DataFrame) -> DataFrame:
+        return bitmaps.merged(window, ["province_id"], F.max("top_price").alias("top_price"))
+
+    def result(window: DataFrame) -> DataFrame:
+        return bitmaps.counts(window, ["province_id"], "customers", F.max("top_price").cast("double").alias("top_price"))
+
+    action = windows.long_windows(f"{arrivals.home}/partials", arrivals.output, count, merge, LONG, result=result)
+    arrivals.run_slices(rows, "slice", LONG_SLICES, lambda stream: stream, action)
+    return read_batches(spark, arrivals.output)
+
+
 @query(
     "stream_window_event_time",
     """
@@ -423,3 +496,37 @@ def offset_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     action = outputs.offsets_action(to_batch_dirs(arrivals.output, record_view), offsets)
     arrivals.run_slices(rows, "slice", SLICES, lambda stream: stream, action)
     return read_batches(spark, offsets)
+
+
+@query(
+    "offsets_with_result",
+    f"""
+    WITH s AS (SELECT {inputs.TIME_SLICE_SQL} AS slice, * FROM events)
+    SELECT 'events' AS topic, (user_id % 3)::INTEGER AS "partition", min(event_id) AS from_offset, max(event_id) + 1 AS until_offset,
+           (SELECT count(DISTINCT user_id) FROM events) AS users, (SELECT count(*) FROM events) AS records
+    FROM s WHERE slice = (SELECT max(slice) FROM s) GROUP BY ALL
+    """,
+)
+def offsets_with_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records per user, and the offsets of the batch that they are as of, which one file commits together."""
+    slices = inputs.time_slices(inputs.table(spark, sf_dir, "events"), "ts", SLICES)
+    rows = inputs.as_log_records(slices, keep=["slice"])
+    arrivals = Arrivals(spark, "offsets-result", rows.drop("slice").schema)
+    table = buckets.BucketTable(spark, arrivals.output, ["key"], buckets=8)
+
+    def counts(batch: DataFrame) -> DataFrame:
+        return batch.groupBy("key").agg(F.count(F.lit(1)).alias("cnt"))
+
+    def action(batch: DataFrame, batch_id: int) -> None:
+        now = counts(batch)
+        both = table.rows_before(batch_id, now).unionByName(now).groupBy("key").agg(F.sum("cnt").alias("cnt"))
+        offsets = outputs.offset_ranges(batch).collect()
+        table.commit(both, batch_id, [row.asDict() for row in offsets])
+
+    arrivals.run_slices(rows, "slice", SLICES, lambda stream: stream, action)
+    kind = 'topic string, partition int, from_offset long, until_offset long'
+    ranges = spark.createDataFrame([tuple(each[name] for name in ("topic", "partition", "from_offset", "until_offset")) for each in table.note() or []], kind)
+    counted = table.rows()
+    return ranges.select(
+        "*", counted.agg(F.count(F.lit(1))).scalar().alias("users"), counted.agg(F.sum("cnt")).scalar().alias("records")
+    )

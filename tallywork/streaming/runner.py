@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,19 @@ def run_until_idle(
         query.stop()
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was there before comes back."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that a watermark has kept out of the state, in the batches that the query still remembers."""
     operators = (one for progress in query.recentProgress for one in progress["stateOperators"])
@@ -119,6 +133,38 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(hadoop_path, True)
 
 
+def files_below(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names in a folder with their bytes, which are 0 for folders; none if it is not there."""
+    files, hadoop_path = _folder(spark, path)
+    if not files.exists(hadoop_path):
+        return {}
+    return {status.getPath().getName(): status.getLen() for status in files.listStatus(hadoop_path)}
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see whole or not at all; one of the same name is replaced."""
+    files, target = _folder(spark, path)
+    _, made = _folder(spark, f"{path}.tmp")
+    stream = files.create(made, True)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    files.delete(target, False)
+    if not files.rename(made, target):
+        raise OSError(f"cannot rename to {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    files, hadoop_path = _folder(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def stored_batches(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the batches whose folders are complete, in order; no rows are read."""
     files, hadoop_path = _folder(spark, path)
