@@ -26,11 +26,10 @@ def ratings_top(
 
 
 def ratings_top_sql(ratings: DataFrame, *, more_than: int = 2000, n: int = 10) -> DataFrame:
-    """`ratings_top` as SQL text over the statistics of each film."""
+    """`ratings_top` as SQL text, where HAVING names the count by its alias."""
     statement = """
-        WITH film AS (
-            SELECT movieId, count(*) AS cnt, round(avg(rating), 2) AS avg_rating FROM {rows} GROUP BY ALL
-        )
-        SELECT * FROM film WHERE cnt > {least} ORDER BY cnt DESC, avg_rating DESC, movieId ASC LIMIT {n}
+        SELECT movieId, count(*) AS cnt, round(avg(rating), 2) AS avg_rating
+        FROM {rows} GROUP BY movieId HAVING cnt > {least}
+        ORDER BY cnt DESC, avg_rating DESC, movieId LIMIT {n}
     """
     return ratings.sparkSession.sql(statement, rows=ratings, least=more_than, n=n)

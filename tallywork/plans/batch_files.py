@@ -132,6 +132,25 @@ def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+@query(
+    "bucketed_join",
+    "SELECT c_mktsegment, count(*) AS cnt, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS total FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_mktsegment",
+)
+def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two tables bucketed by the same key: joined without moving a row of either."""
+    home = workspace(spark, "bucketed")
+    names = {name: f"tallywork_{name}_{uuid.uuid4().hex[:12]}" for name in ("orders", "customer")}
+    orders = inputs.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), F.col("o_totalprice").cast(inputs.MONEY).alias("price"))
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_mktsegment")
+    for name, rows in (("orders", orders), ("customer", customers)):
+        catalog.save_bucketed(rows, names[name], ["k"], 8, f"{home}/{name}")
+    both = catalog.read_table(spark, names["orders"]).join(catalog.read_table(spark, names["customer"]), "k")
+    for name in names.values():
+        catalog.drop_table(spark, name)
+    sums = both.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("cnt"), F.sum("price").cast("double").alias("total"))
+    return sums
+
+
 @query(
     "first_rows",
     f"""

@@ -7,10 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywork.functions import aggregators, user_functions
-from tallywork.operators import aggregates, cells, grouping, orders, partitions, ratings, records, topk, upsert
+from tallywork.operators import aggregates, cells, grouping, matching, orders, partitions, ratings, records, topk, upsert
 from tallywork.plans import inputs
 from tallywork.plans.registry import query
 from tallywork.sources import files
+from tallywork.streaming.runner import workspace
 
 # --- whole set and keyed aggregates ---------------------------------------------------------
 
@@ -347,6 +348,21 @@ def cell_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.cell_lines(_cells(spark, sf_dir))
 
 
+@query(
+    "cell_lines_sorted",
+    f"""
+    SELECT row_key, family || ':' || qualifier || ' = ' || arg_max("value", version)
+           || ', version -> ' || max(version) AS line
+    FROM ({CELLS}) WHERE row_key IN (SELECT DISTINCT c_custkey::VARCHAR AS k FROM customer ORDER BY k LIMIT 5)
+    GROUP BY row_key, family, qualifier
+    """,
+)
+def cell_lines_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From cells stored in key order: only the files of the first keys are opened."""
+    stored = cells.SortedCells(spark, workspace(spark, "cells")).write(_cells(spark, sf_dir), 16)
+    return cells.cell_lines(stored.first_rows(5))
+
+
 @query(
     "upsert_latest",
     """
@@ -446,11 +462,46 @@ def udaf_buffers_top(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- partitions and local data -----------------------------------------------------------------------------
 
 
-@query("partition_counts", "SELECT count(*) AS cnt, count(*) > 0 AS any_partition FROM lineitem")
+LINES = 7
+
+
+@query("partition_counts", "SELECT l_linenumber - 1 AS partition_id, count(*) AS cnt FROM lineitem GROUP BY l_linenumber")
 def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = partitions.partition_counts(inputs.table(spark, sf_dir, "lineitem"))
-    total = F.coalesce(F.sum("cnt"), F.lit(0)).alias("cnt")
-    return counts.agg(total, (F.count_distinct("partition_id") > 0).alias("any_partition"))
+    """Rows per partition, of rows that were dealt to stated ones."""
+    lines = inputs.table(spark, sf_dir, "lineitem").select((F.col("l_linenumber") - 1).cast("int").alias("n"))
+    return partitions.partition_counts(partitions.in_partitions(lines, F.col("n"), LINES))
+
+
+@query("observed_write", "SELECT l_linenumber - 1 AS partition_id, count(*) AS cnt FROM lineitem WHERE l_discount <= 0.08 GROUP BY l_linenumber")
+def observed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same counts, made by the write itself; lines with a great discount are rejected."""
+    lines = inputs.table(spark, sf_dir, "lineitem").select((F.col("l_linenumber") - 1).cast("int").alias("n"), "l_discount")
+    dealt = partitions.in_partitions(lines, F.col("n"), LINES)
+    counted = partitions.Counted(dealt, F.col("l_discount") > 0.08, LINES).write(workspace(spark, "observed"))
+    rows = [(n, cnt) for n, cnt in enumerate(counted.per_partition) if cnt]
+    return spark.createDataFrame(rows, "partition_id int, cnt long")
+
+
+SIDES_SQL = """
+    SELECT CASE WHEN c_custkey IS NULL THEN 'left' WHEN o_orderkey IS NULL THEN 'right' ELSE 'both' END AS side,
+           count(*) AS cnt, sum(o_orderkey)::BIGINT AS orders, sum(c_custkey)::BIGINT AS customers
+    FROM (SELECT CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 10 = 1 THEN -o_custkey ELSE o_custkey END AS k, o_orderkey FROM orders)
+    FULL JOIN customer ON c_custkey = k GROUP BY side
+"""
+
+
+@query("matched_sides", SIDES_SQL)
+def matched_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with customers: those that meet, and those of either side that do not. A third of the orders have one customer."""
+    own, key = F.col("o_custkey"), F.col("o_orderkey")
+    orders_of = inputs.table(spark, sf_dir, "orders").select(
+        F.when(key % 3 == 0, F.lit(1)).when(key % 10 == 1, -own).otherwise(own).alias("k"), "o_orderkey"
+    )
+    customers = inputs.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    found = matching.matched_sides(orders_of, customers, ["k"], hot=1000)
+    return found.groupBy("side").agg(
+        F.count(F.lit(1)).alias("cnt"), F.sum("left.o_orderkey").alias("orders"), F.sum("right.k").alias("customers")
+    )
 
 
 @query(

@@ -64,16 +64,18 @@ def keyed_table(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def jdbc_upsert_action(
-    url: str, table: str, staging: str, keys: list[str], properties: dict[str, str]
+    url: str, table: str, staging: str, keys: list[str], properties: dict[str, str], dialect: str = "standard"
 ) -> BatchAction:
-    """Action that upserts each batch into a JDBC table.
+    """Action that upserts each batch into a JDBC table, by the statement of the database's `dialect`.
 
     A batch of an aggregating stream holds one row per key, and merging it again
     changes nothing, so a repeated batch is harmless.
     """
 
+    chosen = {} if dialect == "standard" else {"dialect": dialect}
+
     def action(batch: DataFrame, batch_id: int) -> None:
-        upsert_table(batch, url, table, staging, keys, properties)
+        upsert_table(batch, url, table, staging, keys, properties, **chosen)
 
     return action
 
