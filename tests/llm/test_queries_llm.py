@@ -53,6 +53,20 @@ def components_by_hand(rows):
     return prints, linked(pairs, ids)
 
 
+def near_by_hand(texts):
+    """Least id of each group that fingerprints or sets of five-word shingles connect; every pair compared."""
+    words = {n: split(text, lower=True) for n, text in texts}
+    sets = {n: {tuple(w[at : at + 5]) for at in range(max(1, len(w) - 4))} if w else set() for n, w in words.items()}
+    prints = {n: simhash.fingerprint(simhash.shingle_hashes((text or "").encode(), 5)) for n, text in texts}
+
+    def linked_pair(a, b):
+        close = ((prints[a] ^ prints[b]) % 2**64).bit_count() <= 2
+        return close or (sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+
+    ids = sorted(words)
+    return linked([(a, b) for a in ids for b in ids if a < b and linked_pair(a, b)], ids)
+
+
 def test_near_duplicates(spark, folder, rows):
     prints, groups = components_by_hand(rows)
     expected = sorted(((n, f"{prints[n] % 2**64:016x}", groups[n]) for n in prints), key=repr)
@@ -115,7 +129,7 @@ def test_pipeline_stage_by_stage(spark, folder, rows, items):
     docs = scratch.save(stages["quality rules"](spark, docs, folder))
     assert docs.columns == columns and by_row(docs, "doc_id", "text") == sorted((each[:2] for each in left), key=repr)
 
-    _, groups = components_by_hand(left)
+    groups = near_by_hand([each[:2] for each in left])
     left = [each for each in left if groups[each[0]] == each[0]]
     docs = scratch.save(stages["SimHash near-dedup"](spark, docs, folder))
     assert docs.columns == columns and by_row(docs, "doc_id", "text") == sorted((each[:2] for each in left), key=repr)
@@ -149,17 +163,14 @@ def test_pipeline_drops_near_copies_of_any_edits(spark, tmp_path):
             for at in rng.sample(range(len(words)), rng.randrange(1, 2 + len(words) // 45)):
                 words[at] = rng.choice(WORDS)
             texts.append(" ".join(words))
-    sets = [{tuple(w[n : n + 5]) for n in range(max(1, len(w) - 4))} if (w := split(text, lower=True)) else set() for text in texts]
-    ids = range(len(texts))
-    pairs = [(a, b) for a in ids for b in ids if a < b and sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
-    groups = linked(pairs, ids)
-    expected = [n for n in ids if groups[n] == n]
-    assert len(pairs) > 40 and 20 < len(expected) < len(texts) - 20
+    groups = near_by_hand(list(enumerate(texts)))
+    expected = [n for n in range(len(texts)) if groups[n] == n]
+    assert 20 < len(expected) < len(texts) - 20
     docs = spark.createDataFrame([(n, text, "en", "s", 1) for n, text in enumerate(texts)],
                                  "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
-    found = dict(corpus_pipeline.STAGES)["near copies by similarity"](spark, docs, str(tmp_path))
+    found = dict(corpus_pipeline.STAGES)["SimHash near-dedup"](spark, docs, str(tmp_path))
     assert found.columns == docs.columns and sorted(each["doc_id"] for each in found.collect()) == expected
 
 
