@@ -21,12 +21,10 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import os
 import re
 import struct
-import sys
-import types
-import unicodedata
 from array import array
 from collections.abc import Iterator
 
@@ -42,7 +40,7 @@ from tallywork.llm.wording import as_bytes
 MAGIC, VERSION, END = b"TKID", 1, 1
 SAMPLE, PIECES, PIECE, DICTIONARY = 1000, 4, 8192, 1 << 16
 SHARD_BYTES, SHARD_DOCS, LEVEL = 4 << 20, 4096, 3
-KEPT_WORDS, KEPT_PIECES, TOGETHER = 800_000, 500_000, 64
+KEPT_WORDS, KEPT_PIECES, TOGETHER = 100_000, 500_000, 64
 _HEAD = "<4sHH32sI"
 _SHARD = (
     "part int, shard int, first_id long, last_id long, doc_ids array<long>, n_tokens array<int>, "
@@ -50,33 +48,65 @@ _SHARD = (
 )
 
 
-_PIECES = re.compile(r"[a-z]+|[0-9]|[^a-z0-9]+")
+# The rules by which `Encoder` may cut texts into words, as a tokenizer file states them.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+
+# Letters of U+0000 to U+017F after they are lower-cased; all of them are composed.
+_SMALL = "a-zß-öø-įı-ſ"
+_PIECES = re.compile(rf"[{_SMALL}]+|[0-9]|[^{_SMALL}0-9\s]+")
+#: What a plain text does not hold: an apostrophe may cut elsewhere, other characters may change when composed.
+_ODD = r"[^\t-\r\x20-&(-~À-ÖØ-öø-įı-ſ]"
+
+
+def cut_by_words(path: str) -> bool:
+    """Whether a tokenizer file states the rules above and nothing that reaches across white space."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, added = spec["model"], spec["added_tokens"]
+    return (
+        spec["normalizer"] == NORMALIZER and spec["pre_tokenizer"] == PRE_TOKENIZER
+        and not spec["post_processor"] and not spec["truncation"] and not spec["padding"]
+        and model["type"] == "BPE" and not model["dropout"] and not model["ignore_merges"]
+        and not any(one["lstrip"] or one["rstrip"] or one["single_word"] or one["normalized"]
+                    or re.search(r"\s", one["content"]) for one in added)
+    )
 
 
-def pieces(word: str) -> list[str] | None:
-    """The parts of a word, in lower case, that the tokenizer takes one by one; None if that is not plain to see.
+class Kept(dict):
+    """What was looked up last: between `limit` and twice as many entries; None for others."""
 
-    It cuts lower-cased, composed text into runs of letters, single digits and
-    runs of anything else; an apostrophe may cut elsewhere, and `<|` may begin a
-    special token.
-    """
-    if "<|" in word or "'" in word:
-        return None
-    if word.isascii():
-        return _PIECES.findall(word.lower())
-    core = word.rstrip(".,;:!?")
-    small = core.lower()
-    if "Σ" not in core and core.isalpha() and small.isalpha() and unicodedata.is_normalized("NFC", core):
-        return [small, word[len(core) :]] if len(core) < len(word) else [small]
-    return None
+    def __init__(self, limit: int):
+        super().__init__()
+        self.limit, self.older = limit, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is not None:
+            self[key] = value
+        return value
+
+    def turn(self) -> None:
+        """Make room: entries that are not met before the next turn go."""
+        if len(self) > self.limit:
+            self.older = dict(self)
+            self.clear()
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes, with the ids of seen words kept.
 
-    The tokenizer drops white space and never looks across it, so that the ids
-    of a text are those of its words between blanks, and those of a word are the
-    ids of its pieces. A piece goes straight to the tokenizer's merges.
+    A tokenizer with the rules above drops white space and never looks across
+    it. The ids of a plain text are those of its pieces, which go straight to
+    the tokenizer's merges; a text with other characters is cut into words, and
+    those that hold them go whole through the tokenizer. Texts go whole through
+    any tokenizer with other rules.
     """
 
     def __init__(self, path: str):
@@ -84,60 +114,68 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = cut_by_words(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        special = [re.escape(one.content) for one in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join([_ODD, *special]))
         # Fixed value: the characters that stand for bytes in this kind of vocabulary.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [byte for byte in range(256) if byte not in plain]
         self.letters = {byte: 256 + n for n, byte in enumerate(others)}
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _learn_pieces(self, new: set[str]) -> None:
-        merges, letters = self.tokenizer.model.tokenize, self.letters
-        for piece in new:
-            shown = piece if piece.isalpha() and piece.isascii() else piece.encode().decode("latin-1").translate(letters)
-            self.pieces[piece] = array("I", [token.id for token in merges(shown)]).tobytes()
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) > KEPT_WORDS:
-            self.words = {}
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces = {}
-        parts = [(word, text, pieces(text)) for word, text in [(w, w.decode("utf-8", "surrogatepass")) for w in words]]
-        self._learn_pieces({piece for _, _, found in parts if found for piece in found}.difference(self.pieces))
-        ids = self.pieces
-        self.words.update(
-            (word, self._whole(text) if found is None else b"".join([ids[piece] for piece in found]))
-            for word, text, found in parts
-        )
+        self.words, self.pieces = Kept(KEPT_WORDS), Kept(KEPT_PIECES)
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", one.ids).tobytes() for one in found]
+
+    def _ids(self, pieces: list[str]) -> bytes:
+        """Ids of pieces, one after the other."""
+        ids = list(map(self.pieces.__getitem__, pieces))
+        if None in ids:
+            merges, letters = self.tokenizer.model.tokenize, self.letters
+            for piece in {piece for piece, one in zip(pieces, ids) if one is None}:
+                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(letters)
+                self.pieces[piece] = array("I", [token.id for token in merges(shown)]).tobytes()
+            ids = list(map(self.pieces.__getitem__, pieces))
+        return b"".join(ids)
+
+    def _text(self, text: str | None) -> bytes:
+        if not text or not isinstance(text, str):
+            return b""
+        if self.odd.search(text) is None:
+            return self._ids(_PIECES.findall(text.lower()))
+        words = as_bytes(text).split()
+        ids = list(map(self.words.__getitem__, words))
+        if None in ids:
+            new = list({word for word, one in zip(words, ids) if one is None})
+            shown = [word.decode("utf-8", "surrogatepass") for word in new]
+            strange = [self.odd.search(word) is not None for word in shown]
+            whole = iter(self._whole([word for word, one in zip(shown, strange) if one]))
+            for key, word, one in zip(new, shown, strange):
+                self.words[key] = next(whole) if one else self._ids(_PIECES.findall(word.lower()))
+            ids = list(map(self.words.__getitem__, words))
+        return b"".join(ids)
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        split = [as_bytes(text).split() for text in texts]
-        found = [list(map(self.words.get, words)) for words in split]
-        new = {word for words, ids in zip(split, found) if None in ids for word, one in zip(words, ids) if one is None}
-        if new:
-            self._learn(new)
-            known = self.words
-            found = [
-                [known[word] if one is None else one for word, one in zip(words, ids)] if None in ids else ids
-                for words, ids in zip(split, found)
-            ]
-        return [b"".join(ids) for ids in found]
+        if not self.by_words:
+            return self._whole([text if isinstance(text, str) else "" for text in texts])
+        self.words.turn()
+        self.pieces.turn()
+        return [self._text(text) for text in texts]
 
     def encode(self, text: str | None) -> bytes:
         return self.encode_all([text])[0]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
 def encoder(path: str) -> Encoder:
     """The encoder of this process. A worker runs many tasks, and words met in one are known in the next."""
-    kept = sys.modules.setdefault("_tallywork_encoders", types.ModuleType("_tallywork_encoders")).__dict__
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _narrow(ids: bytes, width: int) -> bytes:
@@ -171,7 +209,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str) -> bytes:
 
 
 def _encoded(worker: Encoder, texts: pd.Series) -> Iterator[bytes]:
-    gc.disable()  # the kept words are many objects to search, and none of them can be in a cycle
+    gc.disable()  # the kept pieces are many objects to search, and none of them can be in a cycle
     try:
         for at in range(0, len(texts), TOGETHER):
             yield from worker.encode_all(texts.iloc[at : at + TOGETHER].tolist())
@@ -231,7 +269,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     # As text, since pandas would turn long numbers beside a null into floating-point numbers.
-    ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(shards, _SHARD).write.parquet(f"{path}/shards")
+    plain = ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    plain.mapInPandas(shards, _SHARD).write.parquet(f"{path}/shards")
 
 
 def _dictionary(spark: SparkSession, path: str) -> bytes:

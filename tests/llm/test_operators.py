@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import zlib
+from array import array
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -426,6 +427,22 @@ def test_tokens_of_nothing_and_of_a_strange_dictionary(spark, none, docs):
         tokens.Shard(bytes(shard["index"]), bytes(shard["data"]), b"strange", None)
 
 
+@pytest.mark.parametrize(("name", "by_words"), [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_encoder_gives_the_ids_of_any_tokenizer_file(name, by_words):
+    encoder = tokens.Encoder(public_tokenizers.path(name))
+    encoder.words.limit = encoder.pieces.limit = 40
+    assert encoder.by_words == by_words
+    letters, chance = "abZé ß'İıſΣσςÀ×÷·0٣²½Ⅷ \n\t\x0b\x1c\x85\xa0\u3000中文\u0301ñ.,!-_\u2019Ωж😀", random.Random(5)
+    texts = ["".join(chance.choices(letters, k=chance.randint(0, 30))) for _ in range(3000)]
+    texts += [f"{text}<|endoftext|>{text.upper()}" for text in texts[:500]]
+    texts += ["Grün, wo's 12.5% sind... NICHT?" * 50, ""]
+    wanted = [one.ids for one in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    found = [array("I", ids).tolist() for at in range(0, len(texts), 64) for ids in encoder.encode_all(texts[at : at + 64])]
+    assert found == wanted
+    assert encoder.encode(None) == b""
+    assert len(encoder.pieces) + len(encoder.pieces.older) < 40 * 2 + 3000
+
+
 # repeated passages
 
 
