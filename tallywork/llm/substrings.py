@@ -1,24 +1,28 @@
 """Substring dedup: word windows that an earlier document holds are taken out.
 
-Windows of `WINDOW` words are suffixes of a document, cut at that depth. They are
+Windows of `WINDOW` words begin the suffixes of a document. The suffixes are
 split into groups that a task can hold, by a prefix of varying length:
 
 0. Of documents with one text only the first goes on: all windows of the others
    start in it.
 1. Every window has an anchor: the run of `ANCHOR` words in it whose hash is
    least. Equal windows have equal anchors. Neighbouring windows mostly share
-   one, so that a document gives few anchors, and only those found in two
-   documents go on.
-2. An anchor that at most `GROUP` windows share makes one group, of about 350
-   bytes a window: its windows' suffixes, with their words. They are sorted, which is the tree in
-   order, with the depth at which neighbours part; an inner node at full depth
-   is a repeat, and the least doc_id among its leaves decides.
-3. For other anchors the prefix is lengthened to the full window. Such a group
-   is a single node, so that its least doc_id is a partial aggregation, and no
-   task holds its leaves.
-
-Hashes only choose groups in step 2, where words are compared. In step 3 a
-window stands for itself by a digest of 128 bits.
+   one, so that a document gives few runs of windows, and only those whose
+   anchor is found in two documents go on. Runs with the same words are one: the
+   least doc_id stands for them, and all windows of the others are repeats.
+2. The anchor is the prefix of a group. While a group has more than `GROUP`
+   windows, its runs are cut by the place of the anchor in the window, and the
+   prefix grows to all the words that windows of one cut have in common, in
+   steps until it is the whole window; pieces with the same words are one again.
+   A group whose prefix is the whole window has one member.
+3. The suffixes of a group are sorted: a suffix tree in order. Neighbours that
+   share `WINDOW` words or more lie below one deep inner node; the common depth
+   of its leaves is the length of a repeat, and the least doc_id among them
+   decides who keeps it. Suffixes inside a longer repeat are dropped, so that
+   what remains are repeats that cannot be extended within the run.
+
+A run stands for itself by a digest of 128 bits of its words, and in step 3 words
+are compared. Prefix hashes only choose groups.
 
 Null texts have no words. A null doc_id is greater than any other. Rows with
 equal doc_id are neither smaller than the other: they do not take from each other.
@@ -38,13 +42,16 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tallywork.llm.scratch import Scratch
 from tallywork.llm.wording import as_bytes, sliding_min, span_hashes, window_hashes, word_spans
 
-WINDOW, ANCHOR, GROUP = 50, 8, 200_000
+WINDOW, ANCHOR = 50, 8
+GROUP = 100_000  # windows of a subtree, some 500 bytes each while it is sorted
 RUN = 256  # windows of a run at most
+STEP = 4  # a longer prefix is for a fourth of the places of the anchor
 LAST = (1 << 63) - 1  # the order of a null doc_id
 ALL = -1  # instead of a number of windows: all of them
 
-_RUNS = "doc long, _hash long, anchor long, start int, n int"
-_FOUND = "doc long, _hash long, start int, n int"
+_RUNS = "doc long, _hash long, anchor long, start int, n int, digest binary"
+_PARTS = "owner binary, at int, key long, doc long, digest binary, n int, words binary"
+_FOUND = "digest binary, k int, length int"
 
 
 def _rank(doc_id: Column) -> Column:
@@ -55,140 +62,224 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(_rank(F.col("doc_id")).alias("doc"), F.xxhash64(text).alias("_hash"), F.col(text).alias("text"))
 
 
-def anchor_runs(data: bytes, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring windows with one anchor: the anchor, the first window, how many windows."""
-    starts, ends = word_spans(data)
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _line(text: str | None) -> bytes:
+    """The words of a text, one blank between."""
+    return b" ".join(as_bytes(text).split())
+
+
+def _digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
+
+
+def anchor_runs(line: bytes, window: int = WINDOW, anchor: int = ANCHOR) -> list[tuple[int, int, int, bytes]]:
+    """Runs of neighbouring windows with one anchor: the anchor, the first window, how many windows, a digest."""
+    starts, ends = word_spans(line)
     if len(starts) < window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = sliding_min(window_hashes(span_hashes(data, starts, ends), anchor), window - anchor + 1)
+        return []
+    least = sliding_min(window_hashes(span_hashes(line, starts, ends), anchor), window - anchor + 1)
     edges = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
     sizes = np.diff(np.append(edges, len(least)))
     if (sizes > RUN).any():
         edges = np.concatenate([np.arange(at, at + size, RUN) for at, size in zip(edges, sizes)])
         sizes = np.minimum(np.diff(np.append(edges, len(least))), RUN)
-    return least[edges], edges, sizes
+    bounds = zip(starts[edges].tolist(), ends[edges + sizes + window - 2].tolist())
+    digests = [_digest(line[a:b]) for a, b in bounds]
+    return list(zip(least[edges].view(np.int64).tolist(), edges.tolist(), sizes.tolist(), digests))
 
 
 def runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """The anchor runs of keyed documents."""
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = [anchor_runs(as_bytes(text), window, anchor) for text in batch["text"]]
-            counts = [len(part[0]) for part in parts]
-            if not sum(counts):
-                continue
-            yield pd.DataFrame({
-                "doc": np.repeat(batch["doc"].to_numpy(), counts), "_hash": np.repeat(batch["_hash"].to_numpy(), counts),
-                "anchor": np.concatenate([part[0] for part in parts]).view(np.int64),
-                "start": np.concatenate([part[1] for part in parts]).astype(np.int32),
-                "n": np.concatenate([part[2] for part in parts]).astype(np.int32),
-            })
+            rows = [
+                (doc, mark, *run)
+                for doc, mark, text in zip(batch["doc"], batch["_hash"], batch["text"])
+                for run in anchor_runs(_line(text), window, anchor)
+            ]
+            if rows:
+                yield pd.DataFrame(rows, columns=_names(_RUNS))
 
     return docs.mapInPandas(found, _RUNS)
 
 
 def _with_words(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """Rows of the suffix groups: runs with their words, or, where an anchor has too many, single windows."""
+    """The wanted runs with their words."""
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for row in batch.itertuples(index=False):
-                data = as_bytes(row.text)
-                starts, ends = word_spans(data)
-                line = b" ".join(data[a:b] for a, b in zip(starts.tolist(), ends.tolist()))
-                places = np.concatenate(([0], np.cumsum(ends - starts + 1)))
-                for run in row.wanted:
+            for doc, text, wanted in zip(batch["doc"], batch["text"], batch["wanted"]):
+                line = _line(text)
+                starts, ends = word_spans(line)
+                for run in wanted:
                     first, n = run["start"], run["n"]
-                    if not run["many"]:
-                        rows.append((run["anchor"], row.doc, row.mark, first, n,
-                                     line[places[first] : places[first + n + window - 1] - 1], None))
-                        continue
-                    for at in range(first, first + n):
-                        digest = hashlib.blake2b(line[places[at] : places[at + window] - 1], digest_size=16).digest()
-                        rows.append((run["anchor"], row.doc, row.mark, at, 1, None, digest))
+                    words = line[starts[first] : ends[first + n + window - 2]]
+                    rows.append((run["anchor"], doc, run["digest"], n, words))
                 if len(rows) > 5000:
-                    yield pd.DataFrame(rows, columns=names)
+                    yield pd.DataFrame(rows, columns=_names(kind))
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=names)
+                yield pd.DataFrame(rows, columns=_names(kind))
 
-    kind = "anchor long, doc long, _hash long, start int, n int, words binary, digest binary"
-    names = [part.split()[0] for part in kind.split(", ")]
-    per_doc = wanted.groupBy("doc", "_hash").agg(F.collect_set(F.struct("start", "n", "anchor", "many")).alias("wanted"))
+    kind = "key long, doc long, digest binary, n int, words binary"
+    per_doc = wanted.groupBy("doc", "_hash").agg(F.collect_list(F.struct("start", "n", "anchor", "digest")).alias("wanted"))
     joined = docs.join(per_doc, ["doc", "_hash"]).dropDuplicates(["doc", "_hash"])
-    return joined.withColumnRenamed("_hash", "mark").select("doc", "mark", "text", "wanted").mapInPandas(cut, kind)
+    return joined.select("doc", "text", "wanted").mapInPandas(cut, kind)
 
 
-def repeats(group: list[tuple[int, int, int, int, bytes]], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
-    """The suffix tree of one group, cut at `window` words: runs of windows whose node has a smaller doc.
+def lengthened(words: bytes, width: int, window: int = WINDOW, anchor: int = ANCHOR) -> list[tuple[int, int, int, bytes]]:
+    """A run cut by the place of the anchor: the first window, how many, a hash of the longer prefix, and the words.
 
-    A member is (doc, hash, start, n, words of n + window - 1). Members with the
-    same words are one: the least doc stands for them, and all windows of the
-    others are repeats.
+    A cut is for `width` places, and its prefix is the words that all windows
+    with the anchor there have in common.
     """
-    least: dict[bytes, int] = {}
-    for doc, _, _, _, words in group:
-        least[words] = min(doc, least.get(words, doc))
-    suffixes = []
-    if len(least) > 1:
-        for number, words in enumerate(least):
-            at = [0]
-            place = words.find(b" ")
-            while place >= 0:
-                at.append(place + 1)
-                place = words.find(b" ", place + 1)
-            at.append(len(words) + 1)
-            suffixes += [(words[at[k] : at[k + window] - 1], number, k) for k in range(len(at) - window)]
-        suffixes.sort()
-    docs = list(least.values())
-    taken: list[set[int]] = [set() for _ in docs]
+    starts, ends = word_spans(words)
+    grams = window_hashes(span_hashes(words, starts, ends), anchor)
+    places = np.lib.stride_tricks.sliding_window_view(grams, window - anchor + 1).argmin(axis=1)
+    at, cuts = np.arange(len(places)) + places, places // width
+    edges = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (cuts[1:] != cuts[:-1]))))
+    found = []
+    for first, end in zip(edges.tolist(), np.append(edges[1:], len(places)).tolist()):
+        low = int(cuts[first]) * width
+        high = min(low + width, window - anchor + 1) - 1
+        prefix = words[starts[at[first] - low] : ends[at[first] + window - 1 - high]]
+        key = hashlib.blake2b(b"%d %d " % (width, low) + prefix, digest_size=8).digest()
+        found.append((first, end - first, int.from_bytes(key, "little", signed=True),
+                      words[starts[first] : ends[end + window - 2]]))
+    return found
+
+
+def _lengthened(rows: DataFrame, width: int, window: int, anchor: int) -> DataFrame:
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [
+                (owner, first, key, doc, _digest(part), n, part)
+                for owner, doc, words in zip(batch["digest"], batch["doc"], batch["words"])
+                for first, n, key, part in lengthened(words, width, window, anchor)
+            ]
+            yield pd.DataFrame(rows, columns=_names(_PARTS))
+
+    return rows.select("digest", "doc", "words").mapInPandas(cut, _PARTS)
+
+
+def _common(first: bytes, last: bytes) -> int:
+    """How many words two suffixes have in common; one of them may end."""
+    left, right = first.split(b" "), last.split(b" ")
+    low, high = 0, min(len(left), len(right))
+    while low < high:
+        middle = (low + high + 1) // 2
+        if left[low:middle] == right[low:middle]:
+            low = middle
+        else:
+            high = middle - 1
+    return low
+
+
+def repeats(group: list[tuple[int, bytes, bytes]], window: int = WINDOW) -> list[tuple[bytes, int, int]]:
+    """The repeats of one group that an earlier document holds: run, first word, length in words.
+
+    A member is (doc, name, words), and members differ in their words. Their
+    sorted suffixes are the leaves of a tree; leaves that share `window` words
+    or more are below one deep inner node, whose depth is the length of a repeat.
+    """
+    if min(doc for doc, _, _ in group) == max(doc for doc, _, _ in group):
+        return []
+    leaves = []
+    for number, (_, _, words) in enumerate(group):
+        starts, ends = word_spans(words)
+        deep = ends[window - 1 :].tolist()
+        leaves += [(words[a:], b - a, number, k) for k, (a, b) in enumerate(zip(starts.tolist(), deep))]
+    leaves.sort()
+    taken: list[list[tuple[int, int]]] = [[] for _ in group]
     at = 0
-    while at < len(suffixes):
+    while at < len(leaves):
+        node = leaves[at][0][: leaves[at][1]]
         end = at + 1
-        while end < len(suffixes) and suffixes[end][0] == suffixes[at][0]:
+        while end < len(leaves) and leaves[end][0][: leaves[end][1]] == node:
             end += 1
-        if end > at + 1:  # an inner node at full depth
-            first = min(docs[number] for _, number, _ in suffixes[at:end])
-            for _, number, k in suffixes[at:end]:
-                if docs[number] > first:
-                    taken[number].add(k)
+        least = min(group[number][0] for _, _, number, _ in leaves[at:end])
+        later = [(number, k) for _, _, number, k in leaves[at:end] if group[number][0] > least]
+        if later:
+            depth = _common(leaves[at][0], leaves[end - 1][0])
+            for number, k in later:
+                taken[number].append((k, depth))
         at = end
-    numbers = {words: number for number, words in enumerate(least)}
     found = []
-    for doc, mark, start, n, words in group:
-        if doc > least[words]:
-            found.append((doc, mark, start, n))
-        else:
-            found += [(doc, mark, start + k, 1) for k in sorted(taken[numbers[words]])]
+    for (_, name, _), spans in zip(group, taken):
+        reached = -1
+        for k, depth in sorted(spans):
+            if k + depth > reached:
+                found.append((name, k, depth))
+                reached = k + depth
     return found
 
 
-def _light(rows: DataFrame, window: int) -> DataFrame:
+def _trees(rows: DataFrame, window: int) -> DataFrame:
+    """Repeats of every group of `rows`; a task holds one group at a time."""
     def grouped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in _FOUND.split(", ")]
         held: list[tuple] = []
-        key, out = None, []
+        last, out = None, []
         for batch in batches:
-            columns = (batch[name].tolist() for name in ("anchor", "doc", "_hash", "start", "n", "words"))
-            for anchor, *member in zip(*columns):
-                if anchor != key:
-                    out += repeats(held, window) if len(held) > 1 else []
-                    key, held = anchor, []
+            for key, *member in zip(*(batch[name].tolist() for name in ("key", "doc", "digest", "words"))):
+                if key != last:
+                    out += repeats(held, window) if held else []
+                    last, held = key, []
                 held.append(tuple(member))
             if out:
-                yield pd.DataFrame(out, columns=names)
+                yield pd.DataFrame(out, columns=_names(_FOUND))
                 out = []
-        out = repeats(held, window) if len(held) > 1 else []
+        out = repeats(held, window) if held else []
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield pd.DataFrame(out, columns=_names(_FOUND))
 
-    dealt = rows.select("anchor", "doc", "_hash", "start", "n", "words").repartition("anchor")
-    return dealt.sortWithinPartitions("anchor").mapInPandas(grouped, _FOUND)
+    dealt = rows.select("key", "doc", "digest", "words").repartition("key")
+    return dealt.sortWithinPartitions("key").mapInPandas(grouped, _FOUND)
 
 
-def _heavy(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    least = rows.groupBy("digest").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
-    return rows.join(scratch.save(least), "digest").filter("doc > least").select("doc", "_hash", "start", "n")
+def _widths(window: int, anchor: int) -> list[int]:
+    """How many places of the anchor share a prefix, step by step down to one."""
+    found, width = [], window - anchor + 1
+    while width > 1:
+        width = -(-width // STEP)
+        found.append(width)
+    return found
+
+
+def _repeated(
+    members: DataFrame, firsts: DataFrame, rows: DataFrame, scratch: Scratch, window: int, anchor: int, group: int,
+    widths: list[int],
+) -> DataFrame:
+    """Windows of the owners that an earlier document holds: `owner`, `at`, `n`.
+
+    `members` are pieces of owners (owner, at, doc, digest, n), `firsts` has the
+    least and the greatest doc of a digest, `rows` the words of digests by key.
+    """
+    whole = members.join(firsts.filter("least < most").select("digest", "least"), "digest").filter("doc > least")
+    sizes = rows.groupBy("key").agg(F.sum("n").alias("windows"), F.min("doc").alias("least"), F.max("doc").alias("most"))
+    sizes = scratch.save(sizes.filter("least < most").select("key", "windows"))
+    large = sizes.filter(F.col("windows") > group) if widths else sizes.limit(0)
+    small = sizes.filter(F.col("windows") <= group) if widths else sizes
+    found = _trees(rows.join(small, "key"), window).select(
+        "digest", "k", (F.col("length") - (window - 1)).alias("m")
+    )
+    if widths and not large.isEmpty():
+        parts = scratch.save(_lengthened(rows.join(large, "key"), widths[0], window, anchor))
+        merged = scratch.save(parts.groupBy("digest").agg(
+            F.min("doc").alias("least"), F.max("doc").alias("most"), F.first("key").alias("key"),
+            F.first("n").alias("n"), F.first("words").alias("words"),
+        ))
+        deeper = _repeated(
+            parts.select("owner", "at", "doc", "digest", "n"), merged.select("digest", "least", "most"),
+            merged.select("key", F.col("least").alias("doc"), "digest", "n", "words"),
+            scratch, window, anchor, group, widths[1:],
+        )
+        found = found.union(deeper.select(F.col("owner").alias("digest"), F.col("at").alias("k"), F.col("n").alias("m")))
+    found = scratch.save(found.join(firsts.select("digest", "least"), "digest"))
+    inside = members.join(found, "digest").filter("doc = least").select("owner", (F.col("at") + F.col("k")).alias("at"), "m")
+    return whole.select("owner", "at", "n").union(inside)
 
 
 def copies(docs: DataFrame) -> DataFrame:
@@ -205,15 +296,22 @@ def repeated_windows(
     """Runs of windows to take out: `doc`, `_hash`, `start`, `n`. `docs` is keyed."""
     twins = scratch.save(copies(docs))
     every = scratch.save(runs(docs, window, anchor).join(twins, ["doc", "_hash"], "left_anti"))
-    shared = every.groupBy("anchor").agg(
-        F.min("doc").alias("least"), F.max("doc").alias("most"), F.sum("n").alias("windows")
-    ).filter("least < most")
+    ends = F.min("doc").alias("least"), F.max("doc").alias("most")
     # Saved, as below: a join of plain scans is one whose frequent keys Spark can split.
-    shared = scratch.save(shared.select("anchor", (F.col("windows") > group).alias("many")))
-    wanted = every.join(shared, "anchor")
-    rows = scratch.save(_with_words(docs, wanted, window))
-    light, heavy = rows.filter("digest IS NULL"), rows.filter("digest IS NOT NULL")
-    return twins.union(_light(light, window)).union(_heavy(heavy, scratch))
+    shared = scratch.save(every.groupBy("anchor").agg(*ends).filter("least < most").select("anchor"))
+    members = scratch.save(every.join(shared, "anchor").distinct())
+    firsts = scratch.save(members.groupBy("digest").agg(
+        F.min(F.struct("doc", "_hash", "start", "n", "anchor")).alias("first"), F.max("doc").alias("most")
+    ).select("digest", "first.*", "most"))
+    # An anchor whose runs all have the same words needs no tree.
+    split = firsts.groupBy("anchor").agg(*ends).filter("least < most").select("anchor")
+    rows = scratch.save(_with_words(docs, firsts.drop("most").join(split, "anchor"), window))
+    found = _repeated(
+        members.select(F.struct("doc", "_hash").alias("owner"), F.col("start").alias("at"), "doc", "digest", "n"),
+        firsts.select("digest", F.col("doc").alias("least"), "most"), rows,
+        scratch, window, anchor, group, _widths(window, anchor),
+    )
+    return twins.union(found.select("owner.doc", "owner._hash", F.col("at").alias("start"), "n"))
 
 
 def deduplicated(

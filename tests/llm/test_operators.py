@@ -470,6 +470,81 @@ def test_substrings(spark, docs, rows, window, anchor, group):
     assert set(docs.columns) <= set(found.columns)
 
 
+def brute_repeats(group, window):
+    """For each window that a member with a smaller doc has: the member's name and the window's place."""
+    least = {}
+    words = [(doc, name, text.decode().split()) for doc, name, text in group]
+    for doc, _, line in words:
+        for k in range(len(line) - window + 1):
+            key = tuple(line[k : k + window])
+            least[key] = min(doc, least.get(key, doc))
+    return {(name, k) for doc, name, line in words for k in range(len(line) - window + 1)
+            if least[tuple(line[k : k + window])] < doc}
+
+
+def test_repeats_of_a_group_are_those_of_brute_force_and_cannot_be_extended():
+    chance = random.Random(3)
+    for _ in range(200):
+        lines = {" ".join(chance.choices("ab", k=chance.randint(4, 14))).encode() for _ in range(6)}
+        group = [(chance.randint(1, 4), b"%d" % n, line) for n, line in enumerate(sorted(lines))]
+        found = substrings.repeats(group, 4)
+        assert {(name, k + n) for name, k, length in found for n in range(length - 3)} == brute_repeats(group, 4)
+        by_name = defaultdict(list)
+        for name, k, length in found:
+            by_name[name].append((k, k + length))
+        for spans in by_name.values():
+            assert all(a < b and end < other for (a, end), (b, other) in zip(sorted(spans), sorted(spans)[1:]))
+
+
+def test_longer_prefixes_hold_the_words_of_all_their_windows():
+    chance = random.Random(4)
+    words = [chance.choice("abcdefgh") * chance.randint(1, 3) for _ in range(30)]
+    line, other = " ".join(words).encode(), " ".join(["new", *words[2:], "end"]).encode()
+    for width in substrings._widths(12, 3):
+        cuts = substrings.lengthened(line, width, 12, 3)
+        assert sum(n for _, n, _, _ in cuts) == 30 - 12 + 1
+        assert [first for first, *_ in cuts] == np.cumsum([0] + [n for _, n, _, _ in cuts[:-1]]).tolist()
+        keys = lambda found: {tuple(part.split()[k : k + 12]): key for _, n, key, part in found for k in range(n)}
+        here, there = keys(cuts), keys(substrings.lengthened(other, width, 12, 3))
+        assert len(here.keys() & there.keys()) == 30 - 12 - 1
+        assert all(here[window] == there[window] for window in here.keys() & there.keys())
+    assert substrings._widths(12, 3)[-1] == 1
+
+
+@pytest.mark.parametrize("group", [substrings.GROUP, 300, 0])
+def test_substrings_of_a_group_of_near_copies_stay_linear(spark, group, monkeypatch):
+    chance = random.Random(5)
+    base = [f"w{n}" for n in range(300)]
+    texts = []
+    for n in range(200):
+        words = list(base)
+        words[chance.randrange(300)] = f"changed{n}"
+        texts.append(row(n, " ".join(words)))
+    saved, save = [], Scratch.save
+
+    def counted(self, df):
+        found = save(self, df)
+        saved.append((found.columns, found.count()))
+        return found
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    docs = spark.createDataFrame(texts, SCHEMA)
+    found = substrings.deduplicated(docs, Scratch(spark), 50, 8, group)
+    assert by_row(found, "doc_id", "n_words", "n_removed", "kept") == kept_words(texts, 50)
+    runs = [count for columns, count in saved if "words" in columns]
+    # A changed word touches 50 windows, which lie in few runs; only a longer prefix cuts them.
+    assert runs[0] < 200 * 12
+    assert all(count <= 200 * 100 for count in runs)
+    assert (len(runs) > 1) == (group < substrings.GROUP)
+
+
+def test_substrings_of_a_very_long_text(spark):
+    words = [f"w{n % 977}" for n in range(40_000)]
+    texts = [row(1, " ".join(words)), row(2, "x " + "  ".join(words[10_000:30_000]) + " y"), row(3, "z" * 300_000)]
+    found = substrings.deduplicated(spark.createDataFrame(texts, SCHEMA), Scratch(spark))
+    assert by_row(found, "doc_id", "n_words", "n_removed", "kept") == kept_words(texts, 50)
+
+
 def test_substrings_of_nothing(spark, none):
     assert substrings.deduplicated(none, Scratch(spark)).count() == 0
 
