@@ -26,7 +26,7 @@ import os
 import re
 import struct
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -58,11 +58,12 @@ PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
 ]}
 
-# Letters of U+0000 to U+017F after they are lower-cased; all of them are composed.
-_SMALL = "a-zß-öø-įı-ſ"
-_PIECES = re.compile(rf"[{_SMALL}]+|[0-9]|[^{_SMALL}0-9\s]+")
-#: What a plain text does not hold: an apostrophe may cut elsewhere, other characters may change when composed.
-_ODD = r"[^\t-\r\x20-&(-~À-ÖØ-öø-įı-ſ]"
+# Plain texts hold characters up to U+017F, all of them composed: no apostrophe, which may cut elsewhere, no control
+# characters, and no letter that is two in lower case. In UTF-8 that is these bytes without these characters.
+_PLAIN = bytes([*range(9, 14), *range(32, 39), *range(40, 127), 0xC3, 0xC4, 0xC5, *range(0x80, 0xC0)])
+_NOT_PLAIN = ("×", "÷", "İ")
+#: Pieces of a plain text in lower case.
+_PIECES = re.compile(r"[a-zß-öø-įı-ſ]+|[0-9]|[!-/:-@\[-`{-~]+")
 
 
 def cut_by_words(path: str) -> bool:
@@ -80,16 +81,14 @@ def cut_by_words(path: str) -> bool:
 
 
 class Kept(dict):
-    """What was looked up last: between `limit` and twice as many entries; None for others."""
+    """What `learn` gave for the keys met last: between `limit` and twice as many entries."""
 
-    def __init__(self, limit: int):
+    def __init__(self, limit: int, learn: Callable):
         super().__init__()
-        self.limit, self.older = limit, {}
+        self.limit, self.learn, self.older = limit, learn, {}
 
     def __missing__(self, key):
-        value = self.older.get(key)
-        if value is not None:
-            self[key] = value
+        value = self[key] = self.older.get(key) or self.learn(key)
         return value
 
     def turn(self) -> None:
@@ -116,50 +115,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = cut_by_words(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        special = [re.escape(one.content) for one in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([_ODD, *special]))
+        self.not_plain = (*_NOT_PLAIN, *(one.content for one in self.tokenizer.get_added_tokens_decoder().values()))
+        self.merges = self.tokenizer.model.tokenize
         # Fixed value: the characters that stand for bytes in this kind of vocabulary.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [byte for byte in range(256) if byte not in plain]
         self.letters = {byte: 256 + n for n, byte in enumerate(others)}
-        self.words, self.pieces = Kept(KEPT_WORDS), Kept(KEPT_PIECES)
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in found]
-
-    def _ids(self, pieces: list[str]) -> bytes:
-        """Ids of pieces, one after the other."""
-        ids = list(map(self.pieces.__getitem__, pieces))
-        if None in ids:
-            merges, letters = self.tokenizer.model.tokenize, self.letters
-            for piece in {piece for piece, one in zip(pieces, ids) if one is None}:
-                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(letters)
-                self.pieces[piece] = array("I", [token.id for token in merges(shown)]).tobytes()
-            ids = list(map(self.pieces.__getitem__, pieces))
-        return b"".join(ids)
+        self.words, self.pieces = Kept(KEPT_WORDS, self._word), Kept(KEPT_PIECES, self._piece)
+
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.merges(shown)]).tobytes()
+
+    def _is_plain(self, data: bytes, text: str) -> bool:
+        return not data.translate(None, _PLAIN) and not any(one in text for one in self.not_plain)
+
+    def _by_pieces(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "surrogatepass")
+        return self._by_pieces(text) if self._is_plain(word, text) else self._whole(text)
 
     def _text(self, text: str | None) -> bytes:
-        if not text or not isinstance(text, str):
-            return b""
-        if self.odd.search(text) is None:
-            return self._ids(_PIECES.findall(text.lower()))
-        words = as_bytes(text).split()
-        ids = list(map(self.words.__getitem__, words))
-        if None in ids:
-            new = list({word for word, one in zip(words, ids) if one is None})
-            shown = [word.decode("utf-8", "surrogatepass") for word in new]
-            strange = [self.odd.search(word) is not None for word in shown]
-            whole = iter(self._whole([word for word, one in zip(shown, strange) if one]))
-            for key, word, one in zip(new, shown, strange):
-                self.words[key] = next(whole) if one else self._ids(_PIECES.findall(word.lower()))
-            ids = list(map(self.words.__getitem__, words))
-        return b"".join(ids)
+        data = as_bytes(text)
+        if not data or not self.by_words:
+            return self._whole(text) if data else b""
+        if self._is_plain(data, text):
+            return self._by_pieces(text)
+        return b"".join(map(self.words.__getitem__, data.split()))
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text."""
-        if not self.by_words:
-            return self._whole([text if isinstance(text, str) else "" for text in texts])
         self.words.turn()
         self.pieces.turn()
         return [self._text(text) for text in texts]
