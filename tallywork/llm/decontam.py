@@ -61,7 +61,9 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
     known = item_windows(items, window)
     # At most `window` sizes and one sum reach the driver.
     facts = known.agg(
-        F.collect_set("size").alias("sizes"), F.sum(F.octet_length("key") + 64).alias("bytes")
+        F.collect_set("size").alias("sizes"), F.sum(
+            F.octet_length("key") + 64 + F.aggregate("items", F.lit(0), lambda n, item: n + F.octet_length(item) + 16)
+        ).alias("bytes")
     ).first()
     if (facts["bytes"] or 0) <= BROADCAST_BYTES:
         known = F.broadcast(known)

@@ -73,11 +73,15 @@ def counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
 
 
 def train(docs: DataFrame, buckets: int = BUCKETS) -> tuple[list[str], np.ndarray]:
-    """Languages in order of name, and their log probabilities per bucket."""
+    """Languages in order of name, and their log probabilities per bucket.
+
+    The languages are counted first, so that tasks and driver hold sums for `LANGUAGES` of them at most.
+    """
+    names = docs.filter("lang IS NOT NULL AND text IS NOT NULL").select("lang").distinct().limit(LANGUAGES + 1).count()
+    if names > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} languages, for which the matrix is bounded")
     table = counts(docs, buckets).toPandas()
     langs = sorted(table["lang"].unique())
-    if len(langs) > LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; the matrix is bounded for {LANGUAGES}")
     sums = np.zeros((buckets, len(langs)))
     places = {lang: place for place, lang in enumerate(langs)}
     sums[table["bucket"].to_numpy(int), table["lang"].map(places).to_numpy(int)] = table["n"]

@@ -443,6 +443,22 @@ def test_encoder_gives_the_ids_of_any_tokenizer_file(name, by_words):
     assert len(encoder.pieces) + len(encoder.pieces.older) < 40 * 2 + 3000
 
 
+def test_too_many_languages_are_refused_before_they_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(language, "LANGUAGES", 2)
+    monkeypatch.setattr(language, "counts", lambda *_: pytest.fail("counted"))
+    with pytest.raises(ValueError, match="over 2 languages"):
+        language.train(spark.createDataFrame([row(n, "text", f"l{n}") for n in range(3)], SCHEMA))
+
+
+def test_broadcast_measure_counts_the_item_ids(spark, monkeypatch):
+    items = spark.createDataFrame([(f"item{n}", "the same words") for n in range(500)], "item_id string, text string")
+    docs = spark.createDataFrame([row(1, "here are the same words")], SCHEMA)
+    seen, broadcast = [], F.broadcast
+    monkeypatch.setattr(decontam, "BROADCAST_BYTES", 5000)
+    monkeypatch.setattr(decontam.F, "broadcast", lambda df: seen.append(df) or broadcast(df))
+    assert decontam.report(docs, items).first()["n_items"] == 500 and not seen
+
+
 # repeated passages
 
 

@@ -80,6 +80,15 @@ def test_language(spark, folder, rows):
         assert (lang == "und") == (not any(map(str.isalpha, rows[n][1] or ""))) and 0 <= score <= 1
 
 
+def test_held_out_is_never_null(spark, tmp_path):
+    rows = [(None, "one two three", "en"), (4, "eins zwei", "de"), (None, None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("op3_language_id", "op9_lm_scoring"):
+        found = queries.QUERIES[name](spark, str(tmp_path)).collect()
+        assert [each["held_out"] for each in found if each["doc_id"] is None] == [False, False]
+    assert {each["train_tokens"] for each in found} == {3 + 2 + 3}
+
+
 def test_packing(spark, folder, rows):
     found = queries.QUERIES["op4_best_fit_packing"](spark, folder).collect()
     check_bins(found, packing.CAPACITY)
