@@ -2,9 +2,10 @@
 
 A window is 10 consecutive words of an item, or all words of a shorter one.
 Words are runs of a-z, digits and characters beyond U+007F, after A-Z are
-lower-cased. The lookup joins on the window's text itself, so that a hit needs
-no second check. The item side is broadcast while it is measured to be under
-`BROADCAST_BYTES`; beyond that the same join shuffles.
+lower-cased. Each position of a document is looked up by the 64-bit hash of its
+window in the set of the items' hashes; a hit is verified by the window's whole
+text, which is built for hits only. The set is broadcast while it is measured to
+be under `BROADCAST_BYTES`; beyond that the same lookup shuffles windows.
 
 Null texts have no words and no hits. Documents with equal doc_id and text have
 one verdict, and each of them gets a row. Items without words have no windows;
@@ -24,7 +25,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def plain_words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """Words in order, by a split at the gaps, which takes a fifth of the time of extracting matches."""
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), WORD.replace("[^", "[")), "")
 
 
 def _windows(words: Column, size: int) -> Column:
@@ -56,6 +58,34 @@ def _row_key() -> list[Column]:
     return [F.col("doc_id"), F.xxhash64("text").alias("_hash")]
 
 
+def _at(words: Column, pos: Column, size: int) -> Column:
+    """The hash of the `size` words from `pos` on, without a copy of them."""
+    return F.xxhash64(*[F.get(words, pos + n) for n in range(size)])
+
+
+def _looked_up(docs: DataFrame, known: DataFrame, sizes: list[int], whole: bool) -> DataFrame:
+    """Windows of documents that items hold, and one row at position -1 per document.
+
+    `whole`: the items' windows fit into every task. Otherwise windows travel, and with them their texts.
+    """
+    words, pos, size = F.col("_words"), F.col("pos"), F.col("size")
+    # One row per document that is in no window carries its number of words.
+    sizes = sizes or [1]
+    last = F.greatest(F.lit(-1), F.size("_words") - sizes[0])
+    rows = docs.select("*", F.explode(F.sequence(F.lit(-1), last)).alias("pos"))
+    rows = rows.select("*", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("size"))
+    rows = rows.filter(F.when(pos < 0, size == sizes[0]).otherwise(pos + size <= F.size("_words")))
+    rows = rows.withColumn("_window", F.coalesce(*[F.when((pos >= 0) & (size == n), _at(words, pos, n)) for n in sizes]))
+    text = F.array_join(F.slice("_words", F.greatest(pos, F.lit(0)) + 1, size), " ")
+    if not whole:
+        rows, text = rows.withColumn("_text", text).drop("_words"), F.col("_text")
+    parts = F.split("key", " ")
+    window = F.coalesce(*[F.when(size == n, _at(parts, F.lit(0), n)) for n in sizes])
+    known = known.select(window.alias("_window"), size.alias("_size"), "key", "items")
+    found = rows.join(F.broadcast(known) if whole else known, "_window", "left")
+    return found.filter((pos < 0) | ((F.col("_size") == size) & (F.col("key") == text)))
+
+
 def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: words, hit words, the items found and the hit spans."""
     known = item_windows(items, window)
@@ -65,14 +95,9 @@ def report(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame
             F.octet_length("key") + 64 + F.aggregate("items", F.lit(0), lambda n, item: n + F.octet_length(item) + 16)
         ).alias("bytes")
     ).first()
-    if (facts["bytes"] or 0) <= BROADCAST_BYTES:
-        known = F.broadcast(known)
-    docs = computed(docs.select(*_row_key(), "text"), "_words", plain_words(F.col("text")))
-    # One row per document that is in no window carries its number of words.
-    first = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(0).alias("size"), F.lit(None).cast("string").alias("key")))
-    windows = F.concat(first, *[_windows(F.col("_words"), size) for size in sorted(facts["sizes"])])
-    rows = docs.select("doc_id", "_hash", F.size("_words").cast("long").alias("n_words"), F.inline(windows))
-    rows = rows.join(known, ["key", "size"], "left").filter((F.col("pos") < 0) | F.col("items").isNotNull())
+    docs = computed(docs.select(*_row_key(), "text"), "_words", plain_words(F.col("text"))).drop("text")
+    docs = docs.withColumn("n_words", F.size("_words").cast("long"))
+    rows = _looked_up(docs, known, sorted(facts["sizes"]), (facts["bytes"] or 0) <= BROADCAST_BYTES)
     hit = F.col("pos") >= 0
     per_doc = rows.groupBy("doc_id", "_hash").agg(
         F.max("n_words").alias("n_words"),

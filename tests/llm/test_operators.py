@@ -331,6 +331,14 @@ def test_decontamination(spark, docs, rows, items, bound, monkeypatch):
     assert sorted([word for word in plain(each["text"]) if word] for each in cut.collect()) == sorted(left)
 
 
+def test_decontamination_verifies_hits_by_text(spark, monkeypatch):
+    known = spark.createDataFrame([(1, "one two"), (2, "two three"), (3, "nine")], "item_id long, text string")
+    docs = spark.createDataFrame([row(1, "zero, One TWO four."), row(2, ".two"), row(3, "")], SCHEMA)
+    monkeypatch.setattr(decontam, "_at", lambda words, pos, size: F.lit(7).cast("long"))
+    found = decontam.report(docs, known)
+    assert by_row(found, "doc_id", "n_words", "n_hit", "item_ids") == [(1, 4, 2, ["1"]), (2, 1, 0, []), (3, 0, 0, [])]
+
+
 def test_decontamination_of_nothing(spark, docs, none, rows):
     known = spark.createDataFrame([], "item_id long, text string")
     assert decontam.clean_documents(docs, known).count() == len(rows)
