@@ -25,7 +25,10 @@ SAME = [
     ("merchantibility", "merchantability"), ("non commercial", "noncommercial"), ("http www", "https www"),
     ("creative commons", "cc"), ("by nc", "bync"), ("version ", "v"), ("and or", "or"),
 ]
-COPYRIGHT = r"(?m)^[^\p{L}\n(©]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+#: A line that is a notice: copyright with (c), a year, "the" or "by" after it; not a sentence that starts with the word.
+COPYRIGHT = (
+    r"(?m)^[^\p{L}\n(©]*(?:copyright[^\p{L}\n]*(?:\(c\)|©|[0-9]|the |by )|\(c\)[^\p{L}\n]*[0-9]|©|all rights reserved)[^\n]*$"
+)
 
 # Short licences and the notices that stand for longer ones.
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
@@ -54,7 +57,8 @@ GPL3 = """This program is free software: you can redistribute it and/or modify i
 Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any
 later version."""
 NOTICES = [
-    ("MIT", MIT), ("MIT", "MIT License"), ("MIT", "Released under the MIT License."),
+    ("MIT", MIT), ("MIT", f"MIT License {MIT}"), ("MIT", f"The MIT License (MIT) {MIT}"), ("ISC", f"ISC License {ISC}"),
+    ("MIT", MIT[: MIT.index("The above")]), ("MIT", "MIT License"), ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."), ("MIT", "The MIT License (MIT)"),
     ("MIT", "SPDX-License-Identifier: MIT"), ("ISC", ISC), ("ISC", "Licensed under the ISC License."),
     ("ISC", "SPDX-License-Identifier: ISC"), ("Apache-2.0", APACHE),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+import re
+import textwrap
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -149,6 +151,21 @@ def test_licenses_in_any_spelling(spark):
     assert licenses.scan(docs.limit(0), licenses.notices(spark)).count() == 0
 
 
+@pytest.mark.parametrize("width", [40, 64, 90])
+def test_published_licenses_at_any_width(spark, width):
+    def wrapped(text):
+        return "\n".join(textwrap.wrap(text, width))
+
+    notice = "Copyright (c) 2020 Some One"
+    mit = "\n\n".join(wrapped(part) for part in re.split(r"(?<=conditions:)\s|(?<=the Software\.)\s(?=THE)", licenses.MIT.replace("\n", " ")))
+    isc = wrapped(licenses.ISC)
+    texts = [(1, f"MIT License\n\n{notice}\n\n{mit}\n"), (2, f"ISC License\n\n{notice}\n\n{isc}"), (3, isc),
+             (4, f"some code\n\n{isc}\n\nmore code"), (5, f"some code\n\n{mit}\n\nmore code"), (6, f"{notice}\nAll rights reserved.")]
+    found = by_row(licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"), licenses.notices(spark)),
+                   "doc_id", "whole_license", "licenses")
+    assert found == [(1, "MIT", "MIT"), (2, "ISC", "ISC"), (3, "ISC", "ISC"), (4, None, "ISC"), (5, None, "MIT"), (6, None, "")]
+
+
 # near duplicates
 
 
