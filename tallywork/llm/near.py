@@ -18,8 +18,10 @@ bits can find, so similar sets have candidates of their own:
    `ROUNDS` times in all. A text has `ROUNDS` comparisons in each of its bands, so
    rows grow with the texts, however large a group is or how many share a passage.
 
-So the search is not exact: a pair is missed if neither text was a hub of the
-other and no chain of links joins them. The README states the share found.
+4. The bands miss a few pairs and the rounds leave some uncompared. So all pairs
+   that are not in one group by then are searched by prefixes, which miss none
+   (see `prefixes`). The bands bring large groups together at little cost; the
+   result does not depend on what they find.
 
 Pairs carry no texts: for the whole comparison the members of a hub are dealt to
 lanes, each with one copy of the hub's text. Texts stand for themselves by 128
@@ -38,8 +40,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from tallywork.llm import simhash
+from tallywork.llm import prefixes, simhash
 from tallywork.llm.components import components
+from tallywork.llm.prefixes import CHUNK, frequent
 from tallywork.llm.scratch import Scratch
 from tallywork.llm.simhash import fingerprint, shingle_hashes
 from tallywork.llm.wording import as_bytes, mixed
@@ -79,22 +82,30 @@ def node(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
-_SIGNED = "doc_id long, node binary, print long, n int, sig binary, keys array<long>"
+_SIGNED = "doc_id long, node binary, print long, n int, sig binary, keys array<long>, often array<long>"
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """Per row the text's node, fingerprint, number of shingles, least hashes (their upper halves) and band keys."""
+    """Per row the text's node, fingerprint, number of shingles, least hashes (their upper halves) and band keys.
+
+    `often` names the frequent shingles of the chunk of rows that ends with the row.
+    """
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            prints, sizes, sigs, keys = [], [], [], []
-            for text in batch["text"]:
+            prints, sizes, sigs, keys, often, chunk, held = [], [], [], [], [], [], 0
+            for at, text in enumerate(batch["text"], 1):
                 hashes = shingle_hashes(as_bytes(text), SHINGLE)
                 least = least_hashes(hashes)
                 prints.append(fingerprint(hashes))
-                sizes.append(len(np.unique(hashes)))
+                chunk.append(np.unique(hashes))
+                sizes.append(len(chunk[-1]))
+                held += sizes[-1]
+                ends = held >= CHUNK or at == len(batch)
+                often.append(frequent(chunk) if ends else [])
+                chunk, held = ([], 0) if ends else (chunk, held)
                 sigs.append((least >> np.uint64(32)).astype("<u4").tobytes())
                 keys.append(band_keys(least) if len(hashes) else [])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "node": batch["node"], "print": prints, "n": np.array(sizes, np.int32), "sig": sigs, "keys": keys})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "node": batch["node"], "print": prints, "n": np.array(sizes, np.int32), "sig": sigs, "keys": keys, "often": often})
 
     text = F.coalesce("text", F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), node(text).alias("node"), text.alias("text")).mapInPandas(found, _SIGNED)
@@ -180,6 +191,26 @@ def _round(shared: DataFrame, texts: DataFrame, sketches: DataFrame, scratch: Sc
     return found, left
 
 
+def _between_groups(every: DataFrame, rows: DataFrame, whole: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links (`a`, `b`) between all similar texts that are not in one group of `whole`."""
+    last = prefixes.last_hashes(rows.select(F.explode("often").alias("key")))
+    named = scratch.save(whole.select("least").distinct().withColumn("group", F.monotonically_increasing_id()))
+    grouped = scratch.save(whole.join(named, "least").select("node", "group"))
+    texts = every.dropDuplicates(["node"]).join(grouped.hint("merge"), "node", "left").withColumn("num", F.monotonically_increasing_id())
+    # A text without a group is one of its own, with a number below zero.
+    texts = texts.withColumn("group", F.coalesce("group", -1 - F.col("num")))
+    marks = scratch.save(prefixes.marked(texts, last, SHINGLE))
+    pairs = prefixes.open_pairs(marks, scratch)
+    for table in (named, grouped, marks):
+        scratch.drop(table)
+    mates = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    texts = scratch.save(every.join(mates.hint("merge"), "node", "left_semi").dropDuplicates(["node"]))
+    found = _similar(pairs, texts, scratch)
+    for table in (pairs, mates, texts):
+        scratch.drop(table)
+    return found
+
+
 def groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """`doc_id`, `node` and `least`, the least node of its group, for every row."""
     rows = scratch.save(signed(docs))
@@ -199,7 +230,12 @@ def groups(docs: DataFrame, scratch: Scratch) -> DataFrame:
     for table in (texts, signs, shared):
         scratch.drop(table)
     whole = scratch.save(components(links, scratch))
-    return rows.select("doc_id", "node").join(whole, "node", "left").select("doc_id", "node", F.coalesce("least", "node").alias("least"))
+    missed = _between_groups(every, rows, whole, scratch)
+    for name in ("a", "b"):
+        missed = missed.join(whole.toDF(name, f"least_{name}"), name, "left").withColumn(name, F.coalesce(f"least_{name}", name)).drop(f"least_{name}")
+    joined = scratch.save(components(missed, scratch).toDF("least", "joined"))
+    found = rows.select("doc_id", "node").join(whole, "node", "left").withColumn("least", F.coalesce("least", "node"))
+    return found.join(joined, "least", "left").select("doc_id", "node", F.coalesce("joined", "least").alias("least"))
 
 
 def one_of_each(docs: DataFrame, scratch: Scratch) -> DataFrame:
