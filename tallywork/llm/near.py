@@ -19,8 +19,8 @@ bits can find, so similar sets have candidates of their own:
    rows grow with the texts, however large a group is or how many share a passage.
 
 4. The bands miss a few pairs and the rounds leave some uncompared. So all pairs
-   that are not in one group by then are searched by prefixes, which miss none
-   (see `prefixes`). The bands bring large groups together at little cost; the
+   that are not in one group by then are searched by covered sets and prefixes,
+   which miss none (see `prefixes`). The bands bring large groups together at little cost; the
    result does not depend on what they find.
 
 Pairs carry no texts: for the whole comparison the members of a hub are dealt to
@@ -193,15 +193,20 @@ def _round(shared: DataFrame, texts: DataFrame, sketches: DataFrame, scratch: Sc
 
 def _between_groups(every: DataFrame, rows: DataFrame, whole: DataFrame, scratch: Scratch) -> DataFrame:
     """Links (`a`, `b`) between all similar texts that are not in one group of `whole`."""
-    last = prefixes.last_hashes(rows.select(F.explode("often").alias("key")))
+    listed = prefixes.listed_hashes(rows.select(F.explode("often").alias("key")))
     named = scratch.save(whole.select("least").distinct().withColumn("group", F.monotonically_increasing_id()))
     grouped = scratch.save(whole.join(named, "least").select("node", "group"))
     texts = every.dropDuplicates(["node"]).join(grouped.hint("merge"), "node", "left").withColumn("num", F.monotonically_increasing_id())
     # A text without a group is one of its own, with a number below zero.
     texts = texts.withColumn("group", F.coalesce("group", -1 - F.col("num")))
-    marks = scratch.save(prefixes.marked(texts, last, SHINGLE))
+    low = scratch.save(prefixes.lowest(texts, listed, SHINGLE))
+    left = scratch.save(prefixes.covered(low))
+    for table in (named, grouped, low):
+        scratch.drop(table)
+    texts = every.join(left.hint("merge"), "node").dropDuplicates(["node"])
+    marks = scratch.save(prefixes.marked(texts, SHINGLE))
     pairs = prefixes.open_pairs(marks, scratch)
-    for table in (named, grouped, marks):
+    for table in (left, marks):
         scratch.drop(table)
     mates = scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
     texts = scratch.save(every.join(mates.hint("merge"), "node", "left_semi").dropDuplicates(["node"]))

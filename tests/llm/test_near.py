@@ -73,3 +73,24 @@ def test_parities_never_exceed_the_difference():
         both = np.unique(np.concatenate([one[: min(size, other) // 2], rng.integers(0, 2**64, other - min(size, other) // 2, np.uint64)]))
         bits = pd.Series([prefixes.parities(one)] * 2), pd.Series([prefixes.parities(both), prefixes.parities(one)])
         assert prefixes.differing(*bits)[0] <= len(np.setxor1d(one, both)) and prefixes.differing(*bits)[1] == 0
+
+
+def test_texts_that_share_most_words_are_no_candidates(spark, tmp_path, monkeypatch):
+    """Pairs grew with the square of the texts that share a passage, unless the passage was listed as frequent."""
+    monkeypatch.setattr(prefixes, "LISTED", 0)
+    rng = random.Random(7)
+    common = drawn(rng, 60)
+    texts = [" ".join(common + drawn(rng, 40)) for _ in range(60)]
+    texts += [" ".join(common + drawn(rng, 5)) for _ in range(2)]
+    compared, search = [], prefixes.candidates
+
+    def counted(*given):
+        found = search(*given)
+        compared.append(found.count())
+        return found
+
+    monkeypatch.setattr(prefixes, "candidates", counted)
+    monkeypatch.setattr(near, "ROUNDS", 0)
+    found = near.one_of_each(written(spark, tmp_path, texts), Scratch(spark))
+    assert sorted(each["doc_id"] for each in found.collect()) == list(range(61))
+    assert compared == [1]
